@@ -15,70 +15,48 @@ plain edits, so ``levenshtein(token, term) <= 2 k`` is a cheap first test.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def _swapped(a: str, i: str, b: str, k: str) -> str:
+    """Letters i, i+1 of ``a`` are letters k, k+1 of ``b`` the other way round."""
+    return f"substring({a}, {i}, 2) = reverse(substring({b}, {k}, 2))"
 
-def _lev(a: Column, b: Column, most: Column) -> Column:
-    return F.call_function("levenshtein", a, b, most) >= 0
 
-
-def _swapped_at(token: Column, term: Column, i: Column) -> Column:
-    """The term's letters i and i+1 (1-based) stand swapped in the token."""
-    two = F.lit(2)
-    return F.substring(token, i, two) == F.reverse(F.substring(term, i, two))
-
-
-def _one_swap(token: Column, term: Column) -> Column:
+def _one_swap(a: str, b: str) -> str:
     """The two differ by exactly one swapped pair."""
-    positions = F.sequence(F.lit(1), F.length(term) - 1)
-    return (F.length(token) == F.length(term)) & (F.length(term) >= 2) & F.exists(
-        positions,
-        lambda j: _swapped_at(token, term, j)
-        & (F.left(token, j - 1) == F.left(term, j - 1))
-        & (_rest(token, j + 2) == _rest(term, j + 2)),
+    return (
+        f"(length({a}) = length({b}) AND length({b}) >= 2 AND "
+        f"exists(sequence(1, length({b}) - 1), j -> {_swapped(a, 'j', b, 'j')} "
+        f"AND left({a}, j - 1) = left({b}, j - 1) "
+        f"AND substring({a}, j + 2) = substring({b}, j + 2)))"
     )
 
 
-def _rest(text: Column, start: Column) -> Column:
-    return F.substring(text, start, F.length(text))
-
-
-def _one_swap_one_edit(token: Column, term: Column) -> Column:
+def _one_swap_one_edit(token: str, term: str) -> str:
     """One swapped pair and at most one more edit, before or after the pair."""
-    shift = F.length(token) - F.length(term)
-    one = F.lit(1)
-
-    def pair(i: Column) -> Column:
-        head = F.left(term, i - 1)
-        tail = _rest(term, i + 2)
-        right = _rest(token, i + 2)
-        after = (
-            _swapped_at(token, term, i)
-            & (F.left(token, i - 1) == head)
-            & (_lev(right, tail, one) | _one_swap(right, tail))
-        )
-        # With the tail untouched the pair sits `shift` letters further right.
-        k = i + shift
-        before = (
-            (k >= 1)
-            & (F.substring(token, k, F.lit(2)) == F.reverse(F.substring(term, i, F.lit(2))))
-            & (_rest(token, k + 2) == tail)
-            & _lev(F.left(token, k - 1), head, one)
-        )
-        return after | before
-
-    return F.exists(F.sequence(F.lit(1), F.length(term) - 1), pair)
+    head, tail = f"left({term}, i - 1)", f"substring({term}, i + 2)"
+    right = f"substring({token}, i + 2)"
+    after = (
+        f"{_swapped(token, 'i', term, 'i')} AND left({token}, i - 1) = {head} "
+        f"AND (levenshtein({right}, {tail}, 1) >= 0 OR {_one_swap(right, tail)})"
+    )
+    # With the tail untouched the pair moves by the difference in length.
+    k = f"(i + length({token}) - length({term}))"
+    before = (
+        f"{k} >= 1 AND {_swapped(token, k, term, 'i')} "
+        f"AND substring({token}, {k} + 2) = {tail} "
+        f"AND levenshtein(left({token}, {k} - 1), {head}, 1) >= 0"
+    )
+    return f"exists(sequence(1, length({term}) - 1), i -> ({after}) OR ({before}))"
 
 
-def within_edits(token: Column, term: Column, budget: Column) -> Column:
-    """Is the token within ``budget`` (1 or 2) edits of the term, swaps included?"""
-    plain = F.call_function("levenshtein", token, term, budget * 2)
-    swaps = F.when(budget == 1, _one_swap(token, term)).otherwise(
-        _one_swap_one_edit(token, term)
+def within_edits(token: str, term: str, budget: str) -> str:
+    """SQL: is the token within ``budget`` (1 or 2) edits of the term, swaps included?"""
+    plain = f"levenshtein({token}, {term}, 2 * {budget})"
+    return (
+        f"(abs(length({token}) - length({term})) <= {budget} AND {plain} >= 0 "
+        f"AND ({plain} <= {budget} OR CASE WHEN {budget} = 1 THEN {_one_swap(token, term)} "
+        f"ELSE {_one_swap_one_edit(token, term)} END))"
     )
-    lengths = F.abs(F.length(token) - F.length(term)) <= budget
-    return lengths & (plain >= 0) & ((plain <= budget) | swaps)
 
 
 def edit_budget(term: str) -> int:

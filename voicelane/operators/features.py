@@ -185,12 +185,12 @@ class FeatureSpace:
             rows = table[table["block"] == name].sort_values("term")
             if rows.empty:
                 continue
-            listed = spark.createDataFrame(rows[["term"]]).select(
-                F.array("term").alias("grams")
+            listed = spark.createDataFrame(
+                pa.table({"_grams": pa.array([[t] for t in rows["term"]])})
             )
             counter = CountVectorizer(
                 inputCol="_grams", outputCol="_vector", vocabSize=len(rows), minDF=1.0
-            ).fit(listed.withColumnRenamed("grams", "_grams"))
+            ).fit(listed)
             terms = list(counter.vocabulary)
             place = rows.assign(id=np.arange(offset, offset + len(rows)))
             place = place.set_index("term").loc[terms]

@@ -19,8 +19,16 @@ from voicelane.functions.edits import edit_budget, within_edits
 from voicelane.lexicon import DEFAULT_LEXICON, Lexicon
 
 
+def sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_list(values) -> str:
+    return ", ".join(sql_string(v) for v in values)
+
+
 def _string_array(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
 
 
 def _pieces(term: str, budget: int) -> tuple[str, str, str]:
@@ -40,8 +48,8 @@ def _pieces(term: str, budget: int) -> tuple[str, str, str]:
     return found[0], found[1] if budget == 2 else "#", found[-1]
 
 
-def _terms_by_length(terms: list[tuple[str, int]]) -> Column:
-    """Literal array: entry L lists the terms a token of length L can be close to."""
+def _terms_by_length(terms: list[tuple[str, int]]) -> str:
+    """SQL literal array: entry L lists the terms a token of length L can be close to."""
     top = max((len(t) + b for t, b in terms), default=0)
     rows = {
         t: dict(zip(("head", "middle", "tail"), _pieces(t, b)), term=t, budget=b)
@@ -51,44 +59,50 @@ def _terms_by_length(terms: list[tuple[str, int]]) -> Column:
         [rows[t] for t, b in terms if abs(len(t) - n) <= b] for n in range(top + 1)
     ]
     fields = "head:string,middle:string,tail:string,term:string,budget:int"
-    return F.from_json(F.lit(json.dumps(table)), f"array<array<struct<{fields}>>>")
+    return f"from_json({sql_string(json.dumps(table))}, 'array<array<struct<{fields}>>>')"
 
 
-def _close(token: Column, x: Column) -> Column:
-    """Is the token within budget of the table entry? The cheap tests come first."""
-    shares_piece = (
-        F.startswith(token, x["head"])
-        | F.endswith(token, x["tail"])
-        | F.contains(token, x["middle"])
+def _close(token: str, x: str = "x") -> str:
+    """SQL: is the token within budget of table entry x? The cheap tests come first."""
+    return (
+        f"((startswith({token}, {x}.head) OR endswith({token}, {x}.tail) "
+        f"OR contains({token}, {x}.middle)) "
+        f"AND {within_edits(token, f'{x}.term', f'{x}.budget')})"
     )
-    return shares_piece & within_edits(token, x["term"], x["budget"])
 
 
-def reachable_terms(token: Column, terms: list[tuple[str, int]]) -> Column:
-    """The terms a token is within budget of, in list order (null if none can be)."""
-    near = F.filter(
-        F.get(_terms_by_length(terms), F.length(token)), lambda x: _close(token, x)
-    )
-    return F.transform(near, lambda x: x["term"])
+def _reachable(token: str, terms: list[tuple[str, int]]) -> str:
+    near = f"filter(get({_terms_by_length(terms)}, length({token})), x -> {_close(token)})"
+    return f"transform({near}, x -> x.term)"
+
 
+def reachable_terms(token: str, terms: list[tuple[str, int]]) -> Column:
+    """The terms a token column is within budget of, in list order (null if none)."""
+    return F.expr(_reachable(token, terms))
 
-def typos(tokens: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
+
+def _is_close_to_any(token: str, terms: list[tuple[str, int]]) -> str:
+    return f"exists(get({_terms_by_length(terms)}, length({token})), x -> {_close(token)})"
+
+
+def typos(tokens: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """array<struct<token, terms>>: tokens close to lexicon terms, in text order.
 
     Real words on the guard list are never taken for misspellings.
     """
     terms = lexicon.fuzzy_terms()
-    table = _terms_by_length(terms)
+    plausible = _is_close_to_any("t", terms)
+    if lexicon.guard:
+        plausible += f" AND t NOT IN ({_sql_list(lexicon.guard)})"
+    survivors = f"filter(array_distinct({tokens}), t -> {plausible})"
+    pair = f"named_struct('token', t, 'terms', {_reachable('t', terms)})"
+    return F.expr(f"transform({survivors}, t -> {pair})")
 
-    def plausible(t: Column) -> Column:
-        close = F.exists(F.get(table, F.length(t)), lambda x: _close(t, x))
-        return close & ~t.isin(*lexicon.guard) if lexicon.guard else close
 
-    survivors = F.filter(F.array_distinct(tokens), plausible)
-    return F.transform(
-        survivors,
-        lambda t: F.struct(t.alias("token"), reachable_terms(t, terms).alias("terms")),
-    )
+def _phrases(terms: tuple[str, ...]) -> Column:
+    """Literal array<struct<term, fuzzy>> in list order."""
+    rows = [{"term": t, "fuzzy": edit_budget(t) > 0} for t in terms]
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<term:string,fuzzy:boolean>>")
 
 
 def group_hits(norm: Column, typo_list: Column, terms: tuple[str, ...]) -> Column:
@@ -98,25 +112,24 @@ def group_hits(norm: Column, typo_list: Column, terms: tuple[str, ...]) -> Colum
     longer word. Only without such an occurrence is its first misspelling in the
     text taken, reported as typed; members of the same list are not misspellings.
     """
-    def first_typo(term: str) -> Column:
-        usable = F.filter(
-            typo_list,
-            lambda x: F.array_contains(x["terms"], term) & ~x["token"].isin(*terms),
+    if not terms:
+        return F.array().cast("array<string>")
+    usable = F.filter(typo_list, lambda x: ~x["token"].isin(*terms))
+
+    def hit(phrase: Column) -> Column:
+        first = F.get(
+            F.filter(usable, lambda x: F.array_contains(x["terms"], phrase["term"])), F.lit(0)
+        )
+        return F.when(norm.contains(phrase["term"]), phrase["term"]).when(
+            phrase["fuzzy"], first["token"]
         )
-        return F.get(usable, F.lit(0))["token"]
 
-    hits = []
-    for term in terms:
-        exact = F.when(norm.contains(term), F.lit(term))
-        hits.append(exact.otherwise(first_typo(term)) if edit_budget(term) else exact)
-    if not hits:
-        return F.array().cast("array<string>")
-    return F.array_distinct(F.array_compact(F.array(*hits)))
+    return F.array_distinct(F.array_compact(F.transform(_phrases(terms), hit)))
 
 
 def exact_hits(norm: Column, terms: tuple[str, ...]) -> Column:
-    found = [F.when(norm.contains(t), F.lit(t)) for t in terms]
-    return F.array_compact(F.array(*found))
+    """The phrases that occur in the normalised text, in list order."""
+    return F.filter(_string_array(terms), lambda t: norm.contains(t))
 
 
 def pattern_hits(norm: Column, patterns: tuple[tuple[str, str], ...]) -> Column:
@@ -134,50 +147,48 @@ def pattern_hits(norm: Column, patterns: tuple[tuple[str, str], ...]) -> Column:
     return F.filter(F.array(*found), lambda m: m != "")
 
 
-def free_tokens(clause_list: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
+def free_tokens(clauses: str, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """Distinct tokens with an occurrence that no negator of its clause reaches."""
     reach = lexicon.negation_window
-    negators = _string_array(lexicon.negators)
-
-    def unreached(clause: Column) -> Column:
-        return F.filter(
-            clause,
-            lambda _, i: ~F.arrays_overlap(
-                F.slice(clause, F.greatest(i - reach, F.lit(0)) + 1, F.least(i, F.lit(reach))),
-                negators,
-            ),
-        )
-
-    return F.array_distinct(F.flatten(F.transform(clause_list, unreached)))
+    before = f"slice(c, greatest(i - {reach}, 0) + 1, least(i, {reach}))"
+    negated = f"arrays_overlap({before}, array({_sql_list(lexicon.negators)}))"
+    unreached = f"transform({clauses}, c -> filter(c, (t, i) -> NOT {negated}))"
+    return F.expr(f"array_distinct(flatten({unreached}))")
 
 
-def is_negatable(hit: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
-    """Can a negation cancel this hit? Listed terms, and misspellings of one-word ones."""
+def _is_negatable(hit: str, lexicon: Lexicon) -> str:
+    """SQL: listed terms, and misspellings of one-word ones that are not real words."""
     single = [(t, edit_budget(t)) for t in lexicon.negatable if edit_budget(t) > 0]
-    close = F.exists(
-        F.get(_terms_by_length(single), F.length(hit)), lambda x: _close(hit, x)
-    )
-    barred = hit.contains(" ") | hit.isin(*lexicon.guard)
-    return hit.isin(*lexicon.negatable) | (~barred & F.coalesce(close, F.lit(False)))
+    barred = f"contains({hit}, ' ')"
+    if lexicon.guard:
+        barred += f" OR {hit} IN ({_sql_list(lexicon.guard)})"
+    close = f"coalesce({_is_close_to_any(hit, single)}, false)"
+    return f"({hit} IN ({_sql_list(lexicon.negatable)}) OR (NOT ({barred}) AND {close}))"
 
 
 def surviving_churn(
-    hits: Column, norm: Column, tokens: Column, lexicon: Lexicon = DEFAULT_LEXICON
-) -> Column:
-    """Churn hits without those that are negatable and negated wherever they occur.
+    df: DataFrame, hits: str, into: str, lexicon: Lexicon = DEFAULT_LEXICON
+) -> DataFrame:
+    """Add churn hits without those negatable ones that are negated wherever they occur.
 
-    A hit is located by its first word as a whole token; one that was found only
-    inside longer words has no location and always stays. The clause work is done
-    only for reviews that have a hit to test.
+    ``df`` comes from ``prepare``. A hit is located by its first word as a whole
+    token; one found only inside longer words has no location and always stays. The
+    clause work is done only for reviews that have a hit to test.
     """
-    free = free_tokens(tx.clauses(norm), lexicon)
-
-    def stays(h: Column) -> Column:
-        head = F.get(F.split(h, " "), F.lit(0))
-        negated = F.array_contains(tokens, head) & ~F.array_contains(free, head)
-        return ~is_negatable(h, lexicon) | ~negated
-
-    return F.when(F.size(hits) > 0, F.filter(hits, stays)).otherwise(hits)
+    if not lexicon.negatable:
+        return df.withColumn(into, F.col(hits))
+    clause_list = F.when(F.size(hits) > 0, tx.clauses(F.col("norm")))
+    head = "split_part(h, ' ', 1)"
+    negated = f"array_contains(tokens, {head}) AND NOT array_contains(_free, {head})"
+    return (
+        df.withColumn("_clauses", clause_list)
+        .withColumn("_free", free_tokens("_clauses", lexicon))
+        .withColumn(
+            into,
+            F.expr(f"filter({hits}, h -> NOT ({_is_negatable('h', lexicon)} AND {negated}))"),
+        )
+        .drop("_clauses", "_free")
+    )
 
 
 def prepare(
@@ -187,7 +198,7 @@ def prepare(
     return (
         df.withColumn("norm", tx.normalize(F.col(text)))
         .withColumn("tokens", tx.tokens(F.col("norm")))
-        .withColumn("typos", typos(F.col("tokens"), lexicon))
+        .withColumn("typos", typos("tokens", lexicon))
     )
 
 
@@ -224,14 +235,11 @@ def match_lexicon(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFram
 
 def churn_after_negation(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """review_id, churn hits before and after negation."""
-    norm = F.col("norm")
     before = prepare(df, lexicon).withColumn(
-        "churn", group_hits(norm, F.col("typos"), lexicon.churn)
+        "churn", group_hits(F.col("norm"), F.col("typos"), lexicon.churn)
     )
-    return before.select(
-        "review_id",
-        "churn",
-        surviving_churn(F.col("churn"), norm, F.col("tokens"), lexicon).alias("kept"),
+    return surviving_churn(before, "churn", "kept", lexicon).select(
+        "review_id", "churn", "kept"
     )
 
 
@@ -248,7 +256,7 @@ def negation_scope(
             F.array_intersect(_string_array(heads), F.flatten("clauses")),
         )
         .filter(F.size("heads") > 0)
-        .withColumn("free", free_tokens(F.col("clauses"), lexicon))
+        .withColumn("free", free_tokens("clauses", lexicon))
     )
     return seen.select("review_id", "free", F.explode("heads").alias("head")).select(
         "review_id", "head", (~F.array_contains("free", F.col("head"))).alias("negated")
@@ -274,7 +282,7 @@ def _near_pairs(counts: DataFrame, lexicon: Lexicon) -> DataFrame:
     per_group = [
         F.struct(
             F.lit(g).alias("group"),
-            reachable_terms(F.col("token"), fuzzy).alias("terms"),
+            reachable_terms("token", fuzzy).alias("terms"),
             F.col("token").isin(*terms).alias("member"),
         )
         for g, terms in lexicon.groups().items()

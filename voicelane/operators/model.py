@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voicelane.config import scratch_path
+from voicelane.functions.fence import computed_once
 from voicelane.functions.numbers import round_exact
 from voicelane.functions.text import rules_fingerprint
 from voicelane.operators import features as ft
@@ -43,12 +44,12 @@ class ReviewModel:
     def with_p_negative(self, df: DataFrame, text: str = "text") -> DataFrame:
         """Add ``p_negative``, unrounded. Row-local; unknown text keeps the intercept."""
         z = F.lit(float(self.intercept)) + F.col("_margin")
-        return (
-            self.space.with_counts(df, text)
-            .withColumn("_margin", self.space.margin(self.coef))
-            .withColumn("p_negative", 1.0 - 1.0 / (1.0 + F.exp(-z)))
-            .drop("_margin", *self.space.scratch())
+        df = self.space.with_counts(df, text).withColumn(
+            "_margin", self.space.margin(self.coef)
         )
+        return computed_once(
+            df.drop(*self.space.scratch()), "p_negative", 1.0 - 1.0 / (1.0 + F.exp(-z))
+        ).drop("_margin")
 
     def features_frame(self, spark: SparkSession) -> DataFrame:
         """block, term, feature_id, idf, coef; ids run on from words to characters."""

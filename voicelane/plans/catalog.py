@@ -509,7 +509,8 @@ def q_stream_scores(spark, path):
     """Score the documents as a stream into per-route folders and read those back."""
     source = (
         spark.readStream.schema("doc_id bigint, text string")
-        .parquet(f"{path}/documents.parquet")
+        .option("pathGlobFilter", "documents.parquet")
+        .parquet(path)
         .withColumnRenamed("doc_id", "review_id")
     )
     base = scratch_path(spark, "stream")

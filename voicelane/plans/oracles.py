@@ -63,10 +63,11 @@ SEEDED = (
 TURNS = "docs AS (SELECT conv_id * 100000 + turn AS review_id, text FROM conversations)"
 NORMED = f"normed AS (SELECT review_id, {norm('text')} AS norm FROM docs)"
 LABELLED = (
-    "labelled AS (SELECT d.doc_id AS review_id, d.text, l.quality AS label, "
-    f"CASE WHEN {hexint('md5(d.doc_id || ''|split'')', 1)} % 2 = 0 THEN 'train' "
-    "ELSE 'test' END AS split FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"
-).replace("''|split''", "'|split'")
+    "labelled AS (SELECT d.doc_id AS review_id, d.text, l.quality AS label, CASE WHEN "
+    + hexint("md5(d.doc_id || '|split')", 1)
+    + " % 2 = 0 THEN 'train' ELSE 'test' END AS split "
+    "FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"
+)
 SCORED = f"scored AS (SELECT review_id, label, {pseudo()} AS p_negative FROM labelled)"
 
 LEXTABLE = "lex(term_group, term, ord, budget) AS (VALUES " + ", ".join(
@@ -378,11 +379,11 @@ def oracle_sql() -> dict[str, str]:
             "FROM triaged WHERE route = 'support_urgent'"
         ),
         "latest_runs": (
-            "WITH runs AS (SELECT source AS experiment, lang AS run_id, max(review_id) AS at, "
+            "WITH runs AS (SELECT source AS experiment, lang AS run_id, max(review_id) AS started, "
             f"{counts(0.4, pseudo())} FROM (SELECT d.doc_id AS review_id, source, lang, "
             "quality AS label FROM documents d JOIN labels l ON d.doc_id = l.doc_id) "
             "GROUP BY source, lang), ranked AS (SELECT *, row_number() OVER (PARTITION BY "
-            "experiment ORDER BY at DESC, run_id) AS rn FROM runs) SELECT experiment, run_id, "
+            "experiment ORDER BY started DESC, run_id) AS rn FROM runs) SELECT experiment, run_id, "
             + ", ".join(
                 f"{even.format(f'(CASE WHEN {d} = 0 THEN 0e0 ELSE {n}::DOUBLE / ({d}) END)')} AS {m}"
                 for m, n, d in (
