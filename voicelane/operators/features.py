@@ -2,9 +2,11 @@
 
 Counting the corpus needs one shuffle by term, fed by map-side partial sums.
 Turning reviews into feature vectors needs none: the vocabulary is bounded by
-``max_features`` per block, so it travels as a broadcast dictionary, and every
-review is vectorised where it lies: the n-grams are counted in the JVM and only
-the counts of known terms pass through one Arrow UDF for the weights.
+``max_features`` per block, so it travels to the tasks as a dictionary, and every
+review is vectorised where it lies. Word n-grams are counted in the JVM. Character
+n-grams outnumber the words twenty to one but depend on the single word only, so
+an Arrow UDF looks them up once per distinct word of a batch and does the rest of
+the arithmetic on whole batches.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -134,31 +137,83 @@ def review_total(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
 
-def _segments(ids: pa.ListArray, counts: pa.ListArray):
-    """Flat ids, flat counts and the row number of each flat entry."""
-    lengths = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    rows = np.repeat(np.arange(len(ids)), lengths)
-    return ids.flatten().to_numpy(), counts.flatten().to_numpy(), rows, lengths
+# Texts are expanded into character n-grams this many bytes at a time.
+_CHUNK_BYTES = 1 << 20
+_CACHE_WORDS = 200_000
+
+
+def _entries_of_counts(slots: pa.ListArray, counts: pa.ListArray):
+    """(row, slot, tf) arrays of a batch whose terms are already counted."""
+    lengths = slots.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(slots)), lengths)
+    yield rows, slots.flatten().to_numpy(), counts.flatten().to_numpy()
+
+
+def _slots_of_word(word: str, table: dict[str, int], lo: int, hi: int) -> list[int]:
+    """Known character n-grams of one padded word, repeats included."""
+    if not word:
+        return []
+    padded = f" {word} "
+    size = len(padded)
+    grams = [padded] if size < lo else [
+        padded[i : i + n] for n in range(lo, hi + 1) for i in range(size - n + 1)
+    ]
+    return [table[g] for g in grams if g in table]
+
+
+def _entries_of_text(norm: pa.Array, table: dict[str, int], span, cache: dict):
+    """(row, slot, tf) arrays of the character n-grams of normalised texts, in chunks."""
+    size = max(len(table), 1)
+    ends = np.cumsum(pc.binary_length(norm).fill_null(0).to_numpy(zero_copy_only=False))
+    total = int(ends[-1]) if len(ends) else 0
+    marks = np.arange(_CHUNK_BYTES, total, _CHUNK_BYTES)
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, marks) + 1, [len(norm)]]))
+    for start, stop in zip(cuts[:-1], cuts[1:]):
+        words = pc.split_pattern(norm.slice(start, stop - start), " ")
+        lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        coded = words.flatten().dictionary_encode()
+        if len(cache) > _CACHE_WORDS:
+            cache.clear()
+        known = []
+        for word in coded.dictionary.to_pylist():
+            if word not in cache:
+                cache[word] = np.array(_slots_of_word(word, table, *span), dtype="int64")
+            known.append(cache[word])
+        sizes = np.array([len(k) for k in known], dtype="int64")
+        starts = np.cumsum(sizes) - sizes
+        pool = np.concatenate(known) if known else np.empty(0, "int64")
+        # Replace every word of every text by the slots of its n-grams.
+        at = coded.indices.to_numpy()
+        spread = sizes[at]
+        inner = np.arange(spread.sum()) - np.repeat(np.cumsum(spread) - spread, spread)
+        slots = pool[np.repeat(starts[at], spread) + inner]
+        rows = np.repeat(np.repeat(np.arange(start, stop), lengths), spread)
+        keys, tf = np.unique(rows * size + slots, return_counts=True)
+        yield keys // size, keys % size, tf.astype("float64")
 
 
 @dataclass
 class Block:
-    """One fitted n-gram vocabulary. Arrays are in the slot order of the counter."""
+    """One fitted n-gram vocabulary. Arrays are in slot order."""
 
     name: str
     span: tuple[int, int]
-    counter: CountVectorizerModel
     terms: list[str]
     feature_ids: np.ndarray
     idf: np.ndarray
+    counter: CountVectorizerModel | None = None
 
-    @property
-    def ids(self) -> str:
-        return f"_{self.name}_ids"
+    def inputs(self) -> list[str]:
+        """Scratch columns the weights are computed from."""
+        return ["_word_ids", "_word_counts"] if self.counter else ["_char_norm"]
 
-    @property
-    def counts(self) -> str:
-        return f"_{self.name}_counts"
+    def reader(self):
+        """Function from the input arrays of a batch to chunks of (row, slot, tf)."""
+        if self.counter:
+            return _entries_of_counts
+        table = {term: slot for slot, term in enumerate(self.terms)}
+        span, cache = self.span, {}
+        return lambda norm: _entries_of_text(norm, table, span, cache)
 
 
 @dataclass
@@ -178,24 +233,18 @@ class FeatureSpace:
 
         Joint feature ids count words in term order, then character n-grams.
         """
-        spark = vocab.sparkSession
         table = vocab.select("block", "term", "idf").toArrow().to_pandas()
         parts, offset = [], 0
         for name, span in (("word", word_range), ("char", char_range)):
             rows = table[table["block"] == name].sort_values("term")
             if rows.empty:
                 continue
-            listed = spark.createDataFrame(
-                pa.table({"_grams": pa.array([[t] for t in rows["term"]])})
-            )
-            counter = CountVectorizer(
-                inputCol="_grams", outputCol="_vector", vocabSize=len(rows), minDF=1.0
-            ).fit(listed)
-            terms = list(counter.vocabulary)
-            place = rows.assign(id=np.arange(offset, offset + len(rows)))
-            place = place.set_index("term").loc[terms]
+            place = rows.assign(id=np.arange(offset, offset + len(rows))).set_index("term")
+            counter = _word_counter(vocab.sparkSession, list(place.index)) if name == "word" else None
+            terms = list(counter.vocabulary) if counter else list(place.index)
+            place = place.loc[terms]
             parts.append(
-                Block(name, span, counter, terms, place["id"].to_numpy(), place["idf"].to_numpy())
+                Block(name, span, terms, place["id"].to_numpy(), place["idf"].to_numpy(), counter)
             )
             offset += len(rows)
         return cls(parts)
@@ -204,60 +253,74 @@ class FeatureSpace:
     def size(self) -> int:
         return sum(len(part.terms) for part in self.parts)
 
-    def with_counts(self, df: DataFrame, text: str = "text") -> DataFrame:
-        """Add each block's known terms (slots) and their counts. Stays in the JVM."""
+    def with_inputs(self, df: DataFrame, text: str = "text") -> DataFrame:
+        """Add the scratch columns: counts of known word n-grams, normalised text."""
         df = df.withColumn("_norm", tx.normalize(F.col(text)))
         for part in self.parts:
+            if part.counter is None:
+                df = df.withColumn("_char_norm", F.col("_norm"))
+                continue
             grams = ngrams_of(F.col("_norm"), part.name, part.span, df)
             df = (
                 part.counter.transform(grams)
                 .withColumn("_vector", F.unwrap_udt("_vector"))
-                .withColumn(part.ids, F.col("_vector.indices"))
-                .withColumn(part.counts, F.col("_vector.values"))
+                .withColumn("_word_ids", F.col("_vector.indices"))
+                .withColumn("_word_counts", F.col("_vector.values"))
                 .drop("_grams", "_vector")
             )
         return df.drop("_norm")
 
     def scratch(self) -> list[str]:
-        return [c for part in self.parts for c in (part.ids, part.counts)]
+        return [c for part in self.parts for c in part.inputs()]
 
     def weights(self, part: Block) -> Column:
         """Array of struct<feature_id, weight> of one block, unit length, by id."""
         entry = [pa.field("feature_id", pa.int32()), pa.field("weight", pa.float64())]
-        idf, feature_ids = part.idf, part.feature_ids
+        idf, feature_ids, read = part.idf, part.feature_ids, part.reader()
 
         @F.arrow_udf("array<struct<feature_id:int,weight:double>>")
-        def weigh(slots: pa.Array, counts: pa.Array) -> pa.Array:
-            at, tf, rows, lengths = _segments(slots, counts)
-            raw = (1.0 + np.log(tf)) * idf[at]
-            total = np.sqrt(np.bincount(rows, raw * raw, minlength=len(lengths)))
-            ids = feature_ids[at]
-            order = np.lexsort((ids, rows))
+        def weigh(*columns: pa.Array) -> pa.Array:
+            n = len(columns[0])
+            counts, ids, weights = np.zeros(n, "int64"), [], []
+            for rows, slots, tf in read(*columns):
+                raw = (1.0 + np.log(tf)) * idf[slots]
+                length = np.sqrt(np.bincount(rows, raw * raw, minlength=n))
+                chunk_ids = feature_ids[slots]
+                order = np.lexsort((chunk_ids, rows))
+                ids.append(chunk_ids[order].astype("int32"))
+                weights.append((raw / length[rows])[order])
+                counts += np.bincount(rows, minlength=n)
             flat = pa.StructArray.from_arrays(
                 [
-                    pa.array(ids[order].astype("int32")),
-                    pa.array((raw / total[rows])[order]),
+                    pa.array(np.concatenate([np.empty(0, "int32"), *ids])),
+                    pa.array(np.concatenate([np.empty(0), *weights])),
                 ],
                 fields=entry,
             )
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("int32")
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype("int32")
             return pa.ListArray.from_arrays(pa.array(offsets), flat)
 
-        return weigh(F.col(part.ids), F.col(part.counts))
+        return weigh(*[F.col(c) for c in part.inputs()])
 
     def margin(self, coef: np.ndarray) -> Column:
         """Sum of weight times coefficient over all blocks; ``coef`` by joint id."""
-        tables = [(part.idf, coef[part.feature_ids]) for part in self.parts]
+        tables = [
+            (part.idf, coef[part.feature_ids], part.reader(), len(part.inputs()))
+            for part in self.parts
+        ]
 
         @F.arrow_udf("double")
         def dot(*columns: pa.Array) -> pa.Array:
-            out = np.zeros(len(columns[0]))
-            for k, (idf, by_slot) in enumerate(tables):
-                at, tf, rows, lengths = _segments(columns[2 * k], columns[2 * k + 1])
-                raw = (1.0 + np.log(tf)) * idf[at]
-                squares = np.bincount(rows, raw * raw, minlength=len(lengths))
-                sums = np.bincount(rows, raw * by_slot[at], minlength=len(lengths))
+            n, at = len(columns[0]), 0
+            out = np.zeros(n)
+            for idf, by_slot, read, width in tables:
+                squares, sums = np.zeros(n), np.zeros(n)
+                for rows, slots, tf in read(*columns[at : at + width]):
+                    raw = (1.0 + np.log(tf)) * idf[slots]
+                    squares += np.bincount(rows, raw * raw, minlength=n)
+                    sums += np.bincount(rows, raw * by_slot[slots], minlength=n)
                 out += sums / np.sqrt(np.where(squares > 0, squares, 1.0))
+                at += width
             return pa.array(out)
 
         return dot(*[F.col(c) for c in self.scratch()])
@@ -268,7 +331,7 @@ class FeatureSpace:
         The column has the physical layout of an ML vector, so written to Parquet
         it reads back as one.
         """
-        df = self.with_counts(df, text)
+        df = self.with_inputs(df, text)
         for part in self.parts:
             df = df.withColumn(f"_{part.name}_weights", self.weights(part))
         joined = F.concat(*[F.col(f"_{part.name}_weights") for part in self.parts])
@@ -283,9 +346,17 @@ class FeatureSpace:
         )
 
 
+def _word_counter(spark: SparkSession, terms: list[str]) -> CountVectorizerModel:
+    """A counter for exactly these terms, in an order of its own."""
+    listed = spark.createDataFrame(pa.table({"_grams": pa.array([[t] for t in terms])}))
+    return CountVectorizer(
+        inputCol="_grams", outputCol="_vector", vocabSize=len(terms), minDF=1.0
+    ).fit(listed)
+
+
 def tfidf(df: DataFrame, space: FeatureSpace) -> DataFrame:
     """Long table review_id, block, feature_id, weight (unit length per block)."""
-    counted = space.with_counts(df.select("review_id", "text"))
+    counted = space.with_inputs(df.select("review_id", "text"))
     for part in space.parts:
         counted = counted.withColumn(f"_{part.name}_weights", space.weights(part))
     per_block = [

@@ -44,7 +44,7 @@ class ReviewModel:
     def with_p_negative(self, df: DataFrame, text: str = "text") -> DataFrame:
         """Add ``p_negative``, unrounded. Row-local; unknown text keeps the intercept."""
         z = F.lit(float(self.intercept)) + F.col("_margin")
-        df = self.space.with_counts(df, text).withColumn(
+        df = self.space.with_inputs(df, text).withColumn(
             "_margin", self.space.margin(self.coef)
         )
         return computed_once(
