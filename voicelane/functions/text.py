@@ -129,5 +129,6 @@ def shout_intensity(raw: Column) -> Column:
     bangs = F.length(raw) - F.length(F.replace(raw, F.lit("!"), F.lit("")))
     n_words = F.regexp_count(raw, F.lit("[A-Za-z]{3,}"))
     n_caps = F.regexp_count(raw, F.lit("(?=[A-Z]{3})(?<![A-Za-z])[A-Z]++(?![a-z])"))
-    ratio = F.when(n_words > 0, n_caps / n_words).otherwise(F.lit(0.0))
+    # Words are counted only where there are capital ones to compare with.
+    ratio = F.when(n_caps > 0, n_caps / n_words).otherwise(F.lit(0.0))
     return F.least(F.lit(1.0), bangs / 3 * 0.5 + ratio * 5 * 0.5)

@@ -33,17 +33,18 @@ GUARD_WORDS = (
     "stale", "stolen", "stone", "store", "stowe", "style", "terribly",
     "willed", "willing", "worse",
 )
+_NOUNS = ("subscription", "membership", "account", "service", "plan")
 _NOUN = "(?:subscription|membership|account|service|plan)"
-# (text every match contains, pattern)
+# (texts of which every match contains at least one, pattern)
 CHURN_PATTERNS = (
-    ("want ", f"(?:dont|do not|no longer|never) want (?:my|this|the|your) {_NOUN}"),
-    (" ", "(?:stop|end|drop|ditch|get rid of|dont renew|do not renew) "
+    (("want ",), f"(?:dont|do not|no longer|never) want (?:my|this|the|your) {_NOUN}"),
+    (_NOUNS, "(?:stop|end|drop|ditch|get rid of|dont renew|do not renew) "
           f"(?:my|the|this|your) {_NOUN}"),
-    (" renew", "(?:not|never|wont|will not|not going to|dont want to) renew"),
-    (" account", "(?:close|deactivate) (?:my|the) account"),
-    ("want out", r"want out(?:\s*[.!,;]|$|\s+of (?:my|this|the) "
+    ((" renew",), "(?:not|never|wont|will not|not going to|dont want to) renew"),
+    ((" account",), "(?:close|deactivate) (?:my|the) account"),
+    (("want out",), r"want out(?:\s*[.!,;]|$|\s+of (?:my|this|the) "
                  "(?:subscription|membership|account|service|plan|contract))"),
-    ("take my business elsewhere", "take my business elsewhere"),
+    (("take my business elsewhere",), "take my business elsewhere"),
 )
 WEIGHTS = {"churn": 0.45, "money": 0.30, "anger": 0.15, "intensity": 0.10}
 NEGATION_WINDOW = 5
@@ -57,7 +58,7 @@ class Lexicon:
     churn: tuple[str, ...] = CHURN_PHRASES
     money: tuple[str, ...] = MONEY_PHRASES
     anger: tuple[str, ...] = ANGER_WORDS
-    patterns: tuple[tuple[str, str], ...] = CHURN_PATTERNS
+    patterns: tuple[tuple[tuple[str, ...], str], ...] = CHURN_PATTERNS
     negatable: tuple[str, ...] = NEGATABLE_CHURN
     negators: tuple[str, ...] = NEGATORS
     guard: tuple[str, ...] = GUARD_WORDS

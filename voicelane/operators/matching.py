@@ -10,6 +10,8 @@ plain sums that combine before the shuffle.
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -132,17 +134,21 @@ def exact_hits(norm: Column, terms: tuple[str, ...]) -> Column:
     return F.filter(_string_array(terms), lambda t: norm.contains(t))
 
 
-def pattern_hits(norm: Column, patterns: tuple[tuple[str, str], ...]) -> Column:
+def _contains_any(norm: Column, needles: tuple[str, ...]) -> Column:
+    return reduce(or_, [norm.contains(n) for n in needles])
+
+
+def pattern_hits(norm: Column, patterns: tuple[tuple[tuple[str, ...], str], ...]) -> Column:
     """What each pattern matched first, in pattern order.
 
-    Patterns come as (needle, regex). Every match contains the needle, so texts
-    without it skip the regex.
+    Patterns come as (needles, regex). Every match contains one of the needles, so
+    texts without any skip the regex.
     """
     if not patterns:
         return F.array().cast("array<string>")
     found = [
-        F.when(norm.contains(needle), F.regexp_extract(norm, regex, 0)).otherwise("")
-        for needle, regex in patterns
+        F.when(_contains_any(norm, needles), F.regexp_extract(norm, regex, 0)).otherwise("")
+        for needles, regex in patterns
     ]
     return F.filter(F.array(*found), lambda m: m != "")
 
