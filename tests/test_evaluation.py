@@ -124,3 +124,14 @@ def test_pseudo_scores_overlap(spark):
     p = ev.pseudo_score(F.col("review_id"), F.col("label"))
     row = df.select(p.alias("p")).agg(F.min("p"), F.max("p")).first()
     assert 0.05 <= row[0] < row[1] < 0.95
+
+
+def test_first_k_prunes_and_stays_exact(spark):
+    from voicelane.operators.topk import first_k
+
+    df = spark.range(10_000).select((F.col("id") * 7919 % 10_000).alias("v"), F.col("id"))
+    got = first_k(df, 25, (F.col("v") / 100).cast("int"), [F.col("v")]).collect()
+    assert [r["v"] for r in got] == list(range(25))
+    same = first_k(df, 25, F.lit(1), [F.col("v")]).collect()
+    assert [r["v"] for r in same] == list(range(25))
+    assert first_k(df, 20_000, F.lit(1), [F.col("v")]).count() == 10_000

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from voicelane.functions import text as tx
 from voicelane.functions.numbers import digits_to_unit, hash_digits, safe_ratio
+from voicelane.operators.topk import first_k
 
 # --- fixed values -----------------------------------------------------------
 F1_GATE = 0.85
@@ -54,10 +55,11 @@ def precision_at_k(scored: DataFrame, ks: tuple[int, ...] = (100, 1000)) -> Data
 
     One distributed top-k of the largest k; equal scores are ordered by id.
     """
-    top = (
-        scored.select("review_id", "label", "p_negative")
-        .orderBy(F.desc("p_negative"), "review_id")
-        .limit(max(ks))
+    top = first_k(
+        scored.select("review_id", "label", "p_negative"),
+        max(ks),
+        level=-F.floor(F.col("p_negative") * 1000).cast("int"),
+        order=[F.desc("p_negative"), F.col("review_id")],
     )
     rank = F.row_number().over(W.orderBy(F.desc("p_negative"), "review_id"))
     ranked = top.withColumn("rank", rank)  # at most max(ks) rows
@@ -176,8 +178,9 @@ def class_preview(reviews: DataFrame, chars: int = PREVIEW_CHARS) -> DataFrame:
 
 def fixed_sample(df: DataFrame, n: int = SAMPLE_SIZE, seed: int = SAMPLE_SEED) -> DataFrame:
     """A reproducible random sample of n rows: the n smallest hashes of the id."""
-    order = hash_digits(F.col("review_id"), F.lit(seed))
-    return df.orderBy(order, "review_id").limit(n)
+    digest = hash_digits(F.col("review_id"), F.lit(seed))
+    level = F.conv(F.left(digest, F.lit(4)), 16, 10).cast("int")
+    return first_k(df, n, level, [digest, F.col("review_id")])
 
 
 def short_slice(reviews: DataFrame, most_words: int = SHORT_WORDS) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voicelane.functions import text as tx
+from voicelane.operators.topk import first_k
 
 BLOCKS = ("word", "char")
 # --- fixed values -----------------------------------------------------------
@@ -98,28 +99,15 @@ def build_vocab(
 ) -> DataFrame:
     """block, term, feature_id, tf, df: the most frequent terms, ids in term order.
 
-    Ties in frequency go to the smaller term. A histogram over powers of two
-    first finds the frequency below which no term can be among the top
-    ``max_features``, so the final top-k sees about that many rows however large
-    the vocabulary is.
+    Ties in frequency go to the smaller term. The levels are powers of two, so the
+    final sort sees about ``max_features`` rows however large the vocabulary is.
     """
     least = MIN_DF[block] if min_df is None else min_df
-    kept = counts.filter(F.col("df") >= least).withColumn(
-        "_level", F.floor(F.log2("tf")).cast("int")
-    )
-    running = F.sum("n").over(W.orderBy(F.desc("_level")))
-    cutoff = (
-        kept.groupBy("_level")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("above", running - F.col("n"))
-        .filter(F.col("above") < max_features)
-        .agg(F.min("_level"))
-        .scalar()
-    )
-    top = (
-        kept.filter(F.col("_level") >= cutoff)
-        .orderBy(F.desc("tf"), "term")
-        .limit(max_features)
+    top = first_k(
+        counts.filter(F.col("df") >= least),
+        max_features,
+        level=-F.floor(F.log2("tf")).cast("int"),
+        order=[F.desc("tf"), F.col("term")],
     )
     by_term = F.row_number().over(W.partitionBy("block").orderBy("term")) - 1
     return top.select(F.lit(block).alias("block"), "term", "tf", "df").withColumn(

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voicelane.config import scratch_path
@@ -114,12 +115,9 @@ def with_coef(table: DataFrame, salt: str) -> DataFrame:
 
 
 def joint_ids(table: DataFrame) -> DataFrame:
-    """Character features continue the ids of the word features."""
-    words = table.agg(F.count_if(F.col("block") == "word")).scalar()
-    return table.withColumn(
-        "feature_id",
-        F.col("feature_id") + F.when(F.col("block") == "char", words).otherwise(0),
-    )
+    """Character features continue the ids of the word features (a bounded table)."""
+    place = F.row_number().over(W.orderBy(F.desc("block"), "term")) - 1
+    return table.withColumn("feature_id", place.cast("bigint"))
 
 
 def feature_table(spark: SparkSession, path: str, salt: str = "m1") -> DataFrame:
