@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voicelane.functions import text as tx
+from voicelane.functions.fence import computed_once
 from voicelane.operators.topk import first_k
 
 BLOCKS = ("word", "char")
@@ -67,9 +68,10 @@ def ngram_counts(
     df: DataFrame, block: str, span: tuple[int, int] | None = None
 ) -> DataFrame:
     """Long table review_id, term, tf. The shuffle carries one row per distinct pair."""
+    listed = with_ngrams(df.select("review_id", "text"), block, span)
     return (
-        with_ngrams(df.select("review_id", "text"), block, span)
-        .select("review_id", F.explode("grams").alias("term"))
+        computed_once(listed.select("review_id", "grams"), "all", F.col("grams"))
+        .select("review_id", F.explode("all").alias("term"))
         .groupBy("review_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from voicelane.functions import text as tx
 from voicelane.functions.edits import edit_budget, within_edits
+from voicelane.functions.fence import computed_once
 from voicelane.lexicon import DEFAULT_LEXICON, Lexicon
 
 
@@ -223,9 +224,9 @@ def match_exact(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
 
 def match_fuzzy(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """Long table of misspellings: review_id, token, term."""
+    found = computed_once(prepare(df, lexicon), "found", F.col("typos"))
     return (
-        prepare(df, lexicon)
-        .select("review_id", F.inline("typos"))
+        found.select("review_id", F.inline("found"))
         .select("review_id", "token", F.explode("terms").alias("term"))
     )
 
@@ -253,13 +254,13 @@ def negation_scope(
     df: DataFrame, heads: tuple[str, ...], lexicon: Lexicon = DEFAULT_LEXICON
 ) -> DataFrame:
     """review_id, head, negated: for each head word that occurs in the review."""
-    clause_list = tx.clauses(F.col("norm"))
+    clause_list = tx.clauses(tx.normalize(F.col("text")))
+    split = computed_once(df.select("review_id", "text"), "clauses", clause_list)
     seen = (
-        df.select("review_id", tx.normalize(F.col("text")).alias("norm"))
-        .select("review_id", clause_list.alias("clauses"))
-        .withColumn(
-            "heads",
-            F.array_intersect(_string_array(heads), F.flatten("clauses")),
+        split.select(
+            "review_id",
+            "clauses",
+            F.array_intersect(_string_array(heads), F.flatten("clauses")).alias("heads"),
         )
         .filter(F.size("heads") > 0)
         .withColumn("free", free_tokens("clauses", lexicon))
