@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,21 @@ def folded_words(text: str | None) -> list[bytes]:
     return utf8(text).translate(FOLD).split()
 
 
+_IN_WORD = np.array([b != 32 for b in FOLD], np.int8)
+
+
+def word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Character offsets (start, stop) of the words of a text as it is written."""
+    data = np.frombuffer(utf8(text), np.uint8)
+    edge = np.diff(_IN_WORD[data], prepend=np.int8(0), append=np.int8(0))
+    starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if len(data) == len(text):
+        return starts, stops
+    # Bytes that continue a character don't count.
+    before = np.concatenate(([0], np.cumsum((data & 0xC0) == 0x80)))
+    return starts - before[starts], stops - before[stops]
+
+
 class WordHashes(dict):
     """64-bit hashes of words, each computed once; emptied when it grows large."""
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voicelane.llm.common import WORD, folded_words, staged
+from voicelane.llm.common import folded_words, staged, word_spans
 
 WINDOW = 10
 #: Pattern characters of one automaton. A benchmark beyond it is scanned in blocks,
@@ -100,8 +100,8 @@ def _scan_batches(block, last: bool, batches: Iterator[pd.DataFrame]) -> Iterato
                     items |= more
                     runs = _runs(np.concatenate((places, np.array(runs, np.int64).reshape(-1, 2))), len(words))
             if last and runs:
-                at = [m.span() for m in WORD.finditer(text)]
-                spans = [(at[a][0], at[b - 1][1]) for a, b in runs]
+                starts, stops = word_spans(text)
+                spans = [(starts[a], stops[b - 1]) for a, b in runs]
             shown = [{"start": int(a), "stop": int(b)} for a, b in (spans if last else runs)]
             if last:
                 n_hit = sum(int(b - a) for a, b in runs)

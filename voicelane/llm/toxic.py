@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voicelane.llm.common import WORD, folded_words, staged
+from voicelane.llm.common import folded_words, staged, word_spans
 
 #: Labels that a task may hold (16 bytes each); more are joined by a shuffle.
 BROADCAST_LABELS = 1_000_000
@@ -377,9 +377,9 @@ def _score(shared, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scores, spans = [], []
         for text in pdf["text"]:
             score, places = tagger.score(buckets, folded_words(text))
-            at = [m.span() for m in WORD.finditer(text)] if len(places) else []
+            starts, stops = word_spans(text) if len(places) else ((), ())
             scores.append(score)
-            spans.append([{"start": at[k][0], "stop": at[k][1]} for k in places])
+            spans.append([{"start": int(starts[k]), "stop": int(stops[k])} for k in places])
         yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": scores, "spans": spans})
 
 
