@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voicelane.llm.common import WordHashes, components, folded_words, staged
+from voicelane.llm.common import WordHashes, components, folded_words, staged, within, without
 from voicelane.llm.shingles import mixed, shingle_hashes, word_hashes
 
 
@@ -234,7 +234,7 @@ def classes(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     weight = members.groupBy("doc").agg(F.sum("n").alias("weight"))
     members = staged(members.drop("n").join(weight, "doc"), "members")
     wanted = members.select(F.col("doc").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text").join(wanted, "doc_id", "left_semi")
+    texts = within(docs.select(F.col("doc_id").cast("bigint"), "text"), staged(wanted, "wanted"))
     bags = texts.mapInArrow(_bags, "doc_id bigint, bag binary").groupBy("doc_id").agg(F.min("bag").alias("bag"))
     bags = staged(bags, "bags")
 
@@ -272,6 +272,5 @@ def classes(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 def dedupe(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """One document of each class (the one with the smallest id), with all columns."""
-    extra = classes(docs, settings).filter("doc_id <> class_id").select(F.col("doc_id").alias("_copy"))
-    extra = extra.distinct()
-    return docs.join(extra, docs["doc_id"] == extra["_copy"], "left_anti")
+    extra = classes(docs, settings).filter("doc_id <> class_id").select("doc_id").distinct()
+    return without(docs, staged(extra, "copies"))

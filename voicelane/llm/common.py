@@ -80,25 +80,47 @@ def sha256_text(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def copy_classes(docs: DataFrame, name: str) -> DataFrame:
-    """doc_id, rep: each document and the smallest id among exact copies of its text.
+#: Slots of the bitmap that stands for a set of ids (4 MB, whatever the set's size).
+SLOTS = 1 << 25
 
-    The table is staged. Documents without text form no class and are left out, and
-    so are rows whose id is null.
+
+def _slot(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id.cast("bigint")), F.lit(SLOTS)) + 1
+
+
+def marked_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents with ``__maybe``: false only if the id surely is not among ``ids``.
+
+    Ids are hashed into a bitmap of fixed size, which is sent to all tasks in up to
+    1,024 rows of 4 KB. So long texts need no shuffle only to find a few of them; a
+    set too large for the bitmap just leaves more rows to the exact join after it.
     """
-    digest = F.sha2(F.col("text").cast("binary"), 256)
-    keyed = docs.filter("doc_id is not null and length(text) > 0").select(
-        "doc_id", F.unhex(F.substring(digest, 1, 32)).alias("digest")
+    slot = _slot(ids[ids.columns[0]])
+    bitmaps = ids.groupBy(F.bitmap_bucket_number(slot).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("__bits")
     )
-    first = keyed.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
-    # A group of copies may be a large share of the rows: only its members need the
-    # join, and they are spread over 16 parts of the group.
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(16)).cast("int")
-    shared = first.filter("n > 1").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    joined = keyed.withColumn("part", part).join(shared, ["digest", "part"], "left")
-    return staged(
-        joined.select("doc_id", F.coalesce("rep", "doc_id").alias("rep")).distinct(), name
+    place = F.bitmap_bit_position(_slot(docs["doc_id"]))
+    met = docs.withColumn("__place", place).join(
+        F.broadcast(bitmaps), F.bitmap_bucket_number(_slot(docs["doc_id"])) == F.col("__bucket"), "left"
     )
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.col("__place") / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    bit = F.pmod(F.floor(byte.cast("int") / F.pow(F.lit(2), F.col("__place") % 8)), F.lit(2)) == 1
+    return met.withColumn("__maybe", F.coalesce(bit, F.lit(False))).drop("__place", "__bucket", "__bits")
+
+
+def within(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is among ``ids`` (one column)."""
+    own = ids.select(ids[ids.columns[0]].alias("__id"))
+    some = marked_rows(docs, ids).filter("__maybe").drop("__maybe")
+    return some.join(own, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is not among ``ids`` (one column); a null id matches a null."""
+    own = ids.select(ids[ids.columns[0]].alias("__id"))
+    marked = marked_rows(docs, ids)
+    some = marked.filter("__maybe").join(own, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    return marked.filter("not __maybe").union(some).drop("__maybe")
 
 
 def components(links: DataFrame, name: str) -> DataFrame:

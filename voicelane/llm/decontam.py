@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voicelane.llm.common import folded_words, staged, word_spans
+from voicelane.llm.common import folded_words, staged, without, word_spans
 
 WINDOW = 10
 #: Pattern characters of one automaton. A benchmark beyond it is scanned in blocks,
@@ -149,6 +149,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     Documents are told apart by their id, so rows that share an id (or have none) go
     together: if one is contaminated, all go.
     """
-    bad = find_contamination(docs, benchmark, window).filter("n_hit > 0")
-    bad = bad.select(F.col("doc_id").alias("_contaminated")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_contaminated"]), "left_anti")
+    bad = find_contamination(docs, benchmark, window).filter("n_hit > 0").select("doc_id").distinct()
+    return without(docs, staged(bad, "contaminated"))

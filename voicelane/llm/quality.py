@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voicelane.llm.common import staged, utf8
+from voicelane.llm.common import staged, utf8, without
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -171,6 +171,5 @@ def keep(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> DataF
 
     Rows that share an id (or have none) go together: if one is rejected, all go.
     """
-    bad = judge(docs, host, rules).filter(~F.col("kept")).select(F.col("doc_id").alias("_rejected"))
-    bad = bad.distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_rejected"]), "left_anti")
+    bad = judge(docs, host, rules).filter(~F.col("kept")).select("doc_id").distinct()
+    return without(docs, staged(bad, "rejected"))
