@@ -37,7 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voicelane.llm.common import WordHashes, components, folded_words, staged, within, without
+from voicelane.llm.common import (
+    WordHashes, components, folded_words, record_batch, slices, small_batches, staged, within, without,
+)
 from voicelane.llm.shingles import mixed, shingle_hashes, word_hashes
 
 
@@ -55,7 +57,6 @@ class Settings:
 
 
 DEFAULT = Settings()
-TEXTS_AT_ONCE = 500
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -129,27 +130,23 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
 
 def _sign(settings: Settings, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    for batch in batches:
-        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            part = batch.slice(at, TEXTS_AT_ONCE)
-            texts = part.column("text").to_pylist()
-            doc, element, weight = bag(texts, hashes)
-            sign = signatures(doc, element, weight, len(texts), settings.registers)
-            has_words = np.bincount(doc, minlength=len(texts)) > 0
-            keys = band_keys(sign, settings.bands).view(np.int64)
-            digests = [xxhash.xxh3_128_digest(b" ".join(folded_words(t))) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"), pa.array(digests, pa.binary()),
-                    pa.array([list(k) if w else None for k, w in zip(keys, has_words, strict=True)], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "digest", "bands"],
-            )
+    for part in slices(batches):
+        texts = part.column("text").to_pylist()
+        doc, element, weight = bag(texts, hashes)
+        sign = signatures(doc, element, weight, len(texts), settings.registers)
+        has_words = np.bincount(doc, minlength=len(texts)) > 0
+        keys = band_keys(sign, settings.bands).view(np.int64)
+        digests = [xxhash.xxh3_128_digest(b" ".join(folded_words(t))) for t in texts]
+        bands = [list(k) if w else None for k, w in zip(keys, has_words, strict=True)]
+        yield record_batch(
+            [part.column("doc_id"), digests, bands], ["doc_id", "digest", "bands"],
+            [pa.int64(), pa.binary(), pa.list_(pa.int64())],
+        )
 
 
 def sign(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """doc_id, digest of the words, bands (keys of the banded signature; null without words)."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint"), "text")
     return rows.mapInArrow(
         functools.partial(_sign, settings), "doc_id bigint, digest binary, bands array<bigint>"
     )
@@ -157,16 +154,12 @@ def sign(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    for batch in batches:
-        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            part = batch.slice(at, TEXTS_AT_ONCE)
-            bags = [
-                np.sort(shingle_hashes(word_hashes(t, hashes))).tobytes()
-                for t in part.column("text").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(bags, pa.binary())], ["doc_id", "bag"]
-            )
+    for part in slices(batches):
+        bags = [
+            np.sort(shingle_hashes(word_hashes(t, hashes))).tobytes()
+            for t in part.column("text").to_pylist()
+        ]
+        yield record_batch([part.column("doc_id"), bags], ["doc_id", "bag"], [pa.int64(), pa.binary()])
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> float:

@@ -26,11 +26,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voicelane.llm.common import slices, small_batches
+
 #: Words whose ids a task remembers; emptied beyond it.
-CACHE_WORDS = 300_000
-#: Texts encoded at a time.
-CHUNK = 256
+CACHE_WORDS = 200_000
+#: Pairs of tokens whose answer a task remembers.
+CACHE_PAIRS = 500_000
 NEVER = 1 << 60
+#: Bytes at the end of a prefix that preselect the lengths of candidates.
+TAIL = 4
+#: Lengths to try where no token ends with the whole tail.
+SHORT = tuple(range(TAIL - 1, 0, -1))
 
 _PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -72,10 +78,7 @@ class Vocabulary:
                 raise ValueError("merges must build each token once, from earlier tokens")
             self.merge[left, right] = rank
             parts[whole], made_at[whole] = (left, right), rank
-        # What stands at a token's edge while it is being built, with the rank at
-        # which it is built into something larger.
-        self.right_edge = {k: self._edge(k, parts, made_at, 1) for k in ids.values()}
-        self.left_edge = {k: self._edge(k, parts, made_at, 0) for k in ids.values()}
+        self.parts, self.made_at = parts, made_at
         sound: dict[int, bool] = {}
         for k in sorted(ids.values(), key=lambda k: made_at.get(k, -1)):
             a, b = parts.get(k, (None, None))
@@ -91,18 +94,20 @@ class Vocabulary:
                 table[bytes(to_byte[c] for c in body)] = k
         if not self.end:
             self.inner = self.final
-        self.longest = max(map(len, chain(self.inner, self.final)))
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.sizes_inner = _sizes_by_tail(self.inner)
+        self.sizes_final = _sizes_by_tail(self.final)
+        self.beside: dict[int, bool] = {}
 
-    @staticmethod
-    def _edge(token: int, parts: dict, made_at: dict, side: int) -> list[tuple[int, int]]:
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """What stands at a token's edge while it is being built, each with the rank
+        at which it goes into something larger."""
         edge, until = [], NEVER
         while True:
             edge.append((token, until))
-            if token not in parts:
+            if token not in self.parts:
                 return edge
-            until = made_at[token]
-            token = parts[token][side]
+            until = self.made_at[token]
+            token = self.parts[token][side]
 
     def _first_join(self, a: int, b: int) -> int:
         """Rank of the first merge across the border of two tokens; NEVER if none.
@@ -111,60 +116,82 @@ class Vocabulary:
         merge of x and y happens if, when its turn comes, x still is what the left
         token shows at the border and y what the right one shows.
         """
-        first = NEVER
-        for x, x_until in self.right_edge[a]:
-            for y, y_until in self.left_edge[b]:
+        first, left_edge = NEVER, self._edge(b, 0)
+        for x, x_until in self._edge(a, 1):
+            for y, y_until in left_edge:
                 rank = self.merge.get((x, y), NEVER)
                 if rank < first and rank < x_until and rank <= y_until:
                     first = rank
         return first
 
     def may_stand(self, a: int, b: int) -> bool:
-        known = self.beside.get((a, b))
-        if known is None:
-            if len(self.beside) > 2_000_000:
-                self.beside.clear()
-            known = self.beside[a, b] = self._first_join(a, b) == NEVER
+        """Whether the encoding of two tokens' text is these two tokens."""
+        if len(self.beside) > CACHE_PAIRS:
+            self.beside.clear()
+        known = self.beside[a << 32 | b] = self._first_join(a, b) == NEVER
         return known
 
-    def last_token(self, piece: bytes, n: int, last: list[int], table: dict[bytes, int]) -> int:
-        """The last token of the encoding of ``piece[:n]``, longest candidate first."""
-        for size in range(min(n, self.longest), 0, -1):
-            token = table.get(piece[n - size : n])
-            if token is not None and (size == n or self.may_stand(last[n - size], token)):
-                return token
-        raise ValueError("a byte is missing in the vocabulary")
-
     def encode_pieces(self, pieces: Iterable[bytes]) -> dict[bytes, list[int]]:
-        """Ids of distinct pieces, walking their trie depth first."""
-        size = {}
-        found, last, before = {}, [0], b""
+        """Ids of distinct pieces, walking their trie depth first.
+
+        ``last`` has the last token of each prefix of the piece at hand, and ``start``
+        where that token begins; what a piece shares with the one before stays.
+        """
+        found, last, start, before = {}, [0], [0], b""
+        beside = self.beside
         for piece in sorted(pieces):
-            shared, most = 0, min(len(before), len(piece)) - 1
+            size = len(piece)
+            shared, most = 0, min(len(before), size) - 1
             while shared < most and before[shared] == piece[shared]:
                 shared += 1
-            del last[shared + 1 :]
-            for n in range(shared + 1, len(piece)):
-                last.append(self.last_token(piece, n, last, self.inner))
-            token = self.last_token(piece, len(piece), last, self.final)
-            ids, n = [token], len(piece)
-            while True:
-                n -= size.get(token) or size.setdefault(token, self._length(token))
-                if not n:
-                    break
-                token = last[n]
-                ids.append(token)
-            found[piece] = ids[::-1]
+            del last[shared + 1 :], start[shared + 1 :]
+            table, sizes = self.inner, self.sizes_inner
+            for n in range(shared + 1, size + 1):
+                if n == size:
+                    table, sizes = self.final, self.sizes_final
+                # Candidates end here; the longest that may stand is the last token.
+                for length in sizes.get(piece[n - TAIL if n > TAIL else 0 : n], SHORT):
+                    at = n - length
+                    if at < 0:
+                        continue
+                    token = table.get(piece[at:n])
+                    if token is None:
+                        continue
+                    if not at:
+                        break
+                    stands = beside.get(last[at] << 32 | token)
+                    if stands or stands is None and self.may_stand(last[at], token):
+                        break
+                last.append(token)
+                start.append(at)
+            ids, n = [], size
+            while n:
+                ids.append(last[n])
+                n = start[n]
+            ids.reverse()
+            found[piece] = ids
             before = piece
         return found
 
-    def _length(self, token: int) -> int:
-        text = self.tokens[token]
-        return len(text) - (len(self.end) if self.end and text.endswith(self.end) else 0)
+
+def _sizes_by_tail(table: dict[bytes, int]) -> dict[bytes, list[int]]:
+    """Lengths of the tokens that can end with a tail of up to TAIL bytes, longest first."""
+    sizes: dict[bytes, set[int]] = {}
+    for body in table:
+        for k in range(1, min(len(body), TAIL) + 1):
+            sizes.setdefault(body[-k:], set()).add(len(body))
+    # A longer tail also ends with tokens that are shorter than it.
+    whole = {
+        tail: own | {len(tail[k:]) for k in range(1, len(tail)) if tail[k:] in table}
+        for tail, own in sizes.items()
+    }
+    return {tail: sorted(own, reverse=True) for tail, own in whole.items()}
 
 
 def normalised(word: str) -> str:
     """NFC and lower case, character by character (no special final sigma)."""
+    if word.isascii():
+        return word.lower()
     return unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
 
 
@@ -182,30 +209,36 @@ class Encoder:
         self.vocab = Vocabulary(definition)
         self.known: dict[str, list[int]] = {}
 
-    def learn(self, words: set[str]) -> None:
-        """Encode the words not known yet."""
+    def learn(self, words: Iterable[str]) -> None:
+        """Encode words not known yet."""
+        special, marks = self.vocab.special, {c[0] for c in self.vocab.special}
         new, pieces = {}, set()
-        for word in words - self.known.keys():
+        for word in words:
+            if word.isascii() and word.isalpha():
+                new[word] = own = word.lower().encode()
+                pieces.add(own)
+                continue
             parts: list = []
-            for k, part in enumerate(
-                self.vocab.split_special.split(word) if self.vocab.special else [word]
-            ):
+            split = any(c in word for c in marks)
+            for k, part in enumerate(self.vocab.split_special.split(word) if split else (word,)):
                 if k % 2:
-                    parts.append(self.vocab.special[part])
+                    parts.append(special[part])
                 elif part:
-                    own = [p.encode("utf-8", "surrogatepass") for p in _PIECES.findall(normalised(part))]
-                    pieces.update(own)
-                    parts += own
+                    parts += [p.encode("utf-8", "surrogatepass") for p in _PIECES.findall(normalised(part))]
+            pieces.update(p for p in parts if isinstance(p, bytes))
             new[word] = parts
         ids = self.vocab.encode_pieces(pieces)
         for word, parts in new.items():
-            self.known[word] = list(chain.from_iterable([p] if isinstance(p, int) else ids[p] for p in parts))
+            if isinstance(parts, bytes):
+                self.known[word] = ids[parts]
+            else:
+                self.known[word] = [k for p in parts for k in ([p] if isinstance(p, int) else ids[p])]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         split = [split_words(t or "") for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known = {}
-        self.learn(set().union(*split))
+        self.learn(set().union(*split) - self.known.keys())
         look = self.known.__getitem__
         return [list(chain.from_iterable(map(look, words))) for words in split]
 
@@ -222,20 +255,19 @@ def _encoder(definition: str) -> Encoder:
 
 def _encode_batches(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(shared.value)
-    for batch in batches:
-        for at in range(0, batch.num_rows, CHUNK):
-            part = batch.slice(at, CHUNK)
-            ids = encoder.encode(part.column("text").to_pylist())
-            offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            values = np.fromiter(chain.from_iterable(ids), np.int32, offsets[-1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                    pa.array(map(encoder.decode, ids), pa.string()),
-                ],
-                ["doc_id", "ids", "decoded"],
-            )
+    for part in slices(batches):
+        ids = encoder.encode(part.column("text").to_pylist())
+        offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+        values = np.fromiter(chain.from_iterable(ids), np.int32, offsets[-1])
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column("doc_id"),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                pa.array(map(encoder.decode, ids), pa.string()),
+            ],
+            ["doc_id", "ids", "decoded"],
+        )
+    encoder.known = {}  # the worker may go on to other work
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -246,7 +278,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """
     with open(path, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint"), "text")
     return rows.mapInArrow(
         functools.partial(_encode_batches, shared), "doc_id bigint, ids array<int>, decoded string"
     )

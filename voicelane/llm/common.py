@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +50,7 @@ def word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
 class WordHashes(dict):
     """64-bit hashes of words, each computed once; emptied when it grows large."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 
@@ -59,6 +61,34 @@ class WordHashes(dict):
         return value
 
 
+#: Texts that a task works on at a time.
+TEXTS_AT_ONCE = 250
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = TEXTS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that what a task holds beside a batch stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound what Spark hands to Python at a time, unless the session sets a bound.
+
+    The default of 64 MB per batch is held several times over by a task (in the JVM,
+    on the way and in Python), which is much beside two tasks of an executor.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if str(conf.get(key)).rstrip("b") == str(64 << 20):
+        conf.set(key, str(4 << 20))
+    return df
+
+
+def record_batch(columns: list, names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends there."""
     spark = df.sparkSession

@@ -17,11 +17,13 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voicelane.llm.common import folded_words, staged, without, word_spans
+from voicelane.llm.common import (
+    folded_words, record_batch, slices, small_batches, staged, without, word_spans,
+)
 
 WINDOW = 10
 #: Pattern characters of one automaton. A benchmark beyond it is scanned in blocks,
@@ -86,32 +88,41 @@ def _runs(places: np.ndarray, n_words: int) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(np.diff(hit) == 1), np.flatnonzero(np.diff(hit) == -1), strict=True))
 
 
-def _scan_batches(block, last: bool, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_RUNS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+_ITEMS = pa.list_(pa.int64())
+
+
+def _scan_batches(block, last: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     scanner = Scanner(block.value)
-    for pdf in batches:
-        out = []
-        for doc_id, text, items, runs in pdf[["doc_id", "text", "items", "runs"]].itertuples(index=False):
+    show = lambda runs: [{"start": int(a), "stop": int(b)} for a, b in runs]
+    for part in slices(batches):
+        counts, hits, items_of, runs_of = [], [], [], []
+        texts = part.column("text").to_pylist()
+        before = zip(part.column("items").to_pylist(), part.column("runs").to_pylist(), strict=True)
+        for text, (items, runs) in zip(texts, before, strict=True):
             words = folded_words(text)
-            items, spans = {int(i) for i in items}, []
             runs = [(r["start"], r["stop"]) for r in runs]
-            if words:
-                more, places = scanner.scan(words)
-                if more:
-                    items |= more
-                    runs = _runs(np.concatenate((places, np.array(runs, np.int64).reshape(-1, 2))), len(words))
+            more, places = scanner.scan(words) if words else (set(), None)
+            if more:
+                runs = _runs(np.concatenate((places, np.array(runs, np.int64).reshape(-1, 2))), len(words))
+            counts.append(len(words))
+            hits.append(sum(int(b - a) for a, b in runs))
+            items_of.append(sorted({*items, *more}))
             if last and runs:
                 starts, stops = word_spans(text)
-                spans = [(starts[a], stops[b - 1]) for a, b in runs]
-            shown = [{"start": int(a), "stop": int(b)} for a, b in (spans if last else runs)]
-            if last:
-                n_hit = sum(int(b - a) for a, b in runs)
-                out.append((doc_id, len(words), n_hit, sorted(items), shown))
-            else:
-                out.append((doc_id, text, sorted(items), shown))
-        names = ["doc_id", "n_words", "n_hit", "items", "spans"] if last else ["doc_id", "text", "items", "runs"]
-        result = pd.DataFrame(out, columns=names)
-        result["doc_id"] = result["doc_id"].astype("Int64")
-        yield result
+                runs = [(starts[a], stops[b - 1]) for a, b in runs]
+            runs_of.append(show(runs))
+        ids = part.column("doc_id")
+        if last:
+            yield record_batch(
+                [ids, counts, hits, items_of, runs_of], ["doc_id", "n_words", "n_hit", "items", "spans"],
+                [pa.int64(), pa.int64(), pa.int64(), _ITEMS, _RUNS],
+            )
+        else:
+            yield record_batch(
+                [ids, part.column("text"), items_of, runs_of], ["doc_id", "text", "items", "runs"],
+                [pa.int64(), pa.string(), _ITEMS, _RUNS],
+            )
 
 
 def find_contamination(
@@ -127,7 +138,7 @@ def find_contamination(
     phrases = staged(item_windows(benchmark, window), "windows")
     total = phrases.agg(F.sum(F.length("phrase") + 2).alias("n")).first()["n"] or 0
     blocks = max(1, -(-total // block_chars))
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col("doc_id").cast("bigint"), "text",
         F.array().cast("array<bigint>").alias("items"), F.array().cast(_RUN).alias("runs"),
     )
@@ -138,7 +149,7 @@ def find_contamination(
         block = docs.sparkSession.sparkContext.broadcast(listed)
         last = k == blocks - 1
         scan = functools.partial(_scan_batches, block, last)
-        rows = rows.mapInPandas(scan, SCHEMA if last else CARRIED)
+        rows = rows.mapInArrow(scan, SCHEMA if last else CARRIED)
         rows = rows if last else staged(rows, "scanned")
     return rows
 

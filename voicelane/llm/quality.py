@@ -16,12 +16,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voicelane.llm.common import staged, utf8, without
+from voicelane.llm.common import record_batch, slices, small_batches, staged, utf8, without
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -93,19 +93,29 @@ def describe(text: str | None) -> tuple:
     )
 
 
-def _describe_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    for pdf in batches:
-        rows = [describe(t) for t in pdf["text"]]
-        out = pd.DataFrame([r[:5] for r in rows], columns=names)
-        hosts = [xxhash.xxh3_64_intdigest(utf8(h)) + (h is None) for h in pdf["host"]]
-        mixed = lambda key, host: (key ^ host * 0x9E3779B97F4A7C15) % 2**64 - 2**63
-        out["line_hashes"] = [[mixed(k, h) for k in r[5]] for r, h in zip(rows, hosts, strict=True)]
-        out["line_words"] = [list(r[5].values()) for r in rows]
-        out.insert(0, "text_hash", [xxhash.xxh3_64_intdigest(utf8(t)) - 2**63 for t in pdf["text"]])
-        out.insert(0, "host", pdf["host"].array)
-        out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").array)
-        yield out
+_TYPES = [
+    pa.int64(), pa.string(), *[pa.int64()] * 6, pa.list_(pa.int64()), pa.list_(pa.int32()),
+]
+
+
+def _with_host(key: int, host: int) -> int:
+    return (key ^ host * 0x9E3779B97F4A7C15) % 2**64 - 2**63
+
+
+def _describe_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [c.split()[0] for c in FEATURES.split(", ")]
+    for part in slices(batches):
+        texts = part.column("text").to_pylist()
+        hosts = [xxhash.xxh3_64_intdigest(utf8(h)) + (h is None) for h in part.column("host").to_pylist()]
+        rows = [describe(t) for t in texts]
+        columns = [
+            part.column("doc_id"), part.column("host"),
+            [xxhash.xxh3_64_intdigest(utf8(t)) - 2**63 for t in texts],
+            *[[r[k] for r in rows] for k in range(5)],
+            [[_with_host(k, h) for k in r[5]] for r, h in zip(rows, hosts, strict=True)],
+            [list(r[5].values()) for r in rows],
+        ]
+        yield record_batch(columns, names, _TYPES)
 
 
 def judge(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> DataFrame:
@@ -114,8 +124,8 @@ def judge(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> Data
     Counting is one shuffle of line hashes that combines on the map side. Only lines
     above the limit are joined back, and each such line is dealt over 16 parts.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text", F.col(host).cast("string").alias("host"))
-    described = staged(rows.mapInPandas(_describe_batches, FEATURES), "lines")
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint"), "text", F.col(host).cast("string").alias("host"))
+    described = staged(rows.mapInArrow(_describe_batches, FEATURES), "lines")
     lines = described.select(
         "doc_id", "text_hash", "host",
         F.explode(F.arrays_zip("line_hashes", "line_words")).alias("line"),

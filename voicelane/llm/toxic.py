@@ -31,7 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voicelane.llm.common import folded_words, staged, word_spans
+from voicelane.llm.common import (
+    folded_words, record_batch, slices, small_batches, staged, word_spans,
+)
 
 #: Labels that a task may hold (16 bytes each); more are joined by a shuffle.
 BROADCAST_LABELS = 1_000_000
@@ -78,13 +80,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c.clear()
         return pa.RecordBatch.from_arrays(columns, ["word", "clean", "toxic"])
 
-    for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist(), strict=True):
-                counts[label].update(set(folded_words(text)))
-            if len(counts[0]) + len(counts[1]) > 400_000:
-                yield flush()
+    for part in slices(batches):
+        for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist(), strict=True):
+            counts[label].update(set(folded_words(text)))
+        if len(counts[0]) + len(counts[1]) > 300_000:
+            yield flush()
     yield flush()
 
 
@@ -145,7 +145,7 @@ class Buckets(dict):
         return max([self.weights.get(f, 0.0) for f in names])
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = int(np.searchsorted(self.settings.bounds, self.weight(word), "right"))
         return value
@@ -370,24 +370,30 @@ def _shrink(weights, settings: Settings, batches: Iterator[pd.DataFrame]) -> Ite
         )
 
 
-def _score(shared, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+
+
+def _score(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tagger = shared.value
     buckets = Buckets(tagger.weights, tagger.settings)
-    for pdf in batches:
+    for part in slices(batches):
         scores, spans = [], []
-        for text in pdf["text"]:
+        for text in part.column("text").to_pylist():
             score, places = tagger.score(buckets, folded_words(text))
             starts, stops = word_spans(text) if len(places) else ((), ())
             scores.append(score)
             spans.append([{"start": int(starts[k]), "stop": int(stops[k])} for k in places])
-        yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": scores, "spans": spans})
+        yield record_batch(
+            [part.column("doc_id"), scores, spans], ["doc_id", "score", "spans"],
+            [pa.int64(), pa.float64(), _SPANS],
+        )
 
 
 def tag(docs: DataFrame, tagger: Tagger) -> DataFrame:
     """doc_id, score and the character spans of toxic words, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    return rows.mapInPandas(
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint"), "text")
+    return rows.mapInArrow(
         functools.partial(_score, shared),
         "doc_id bigint, score double, spans array<struct<start:int,stop:int>>",
     )

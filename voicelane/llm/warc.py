@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voicelane.llm.common import staged
+from voicelane.llm.common import small_batches, staged
 
 MIN_SHARED_BYTES = 100
 SEGMENT_BYTES = 32_768
@@ -133,7 +133,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_SHARED_BYTES) -> DataFr
     joined back; a payload may be a large share of all pages, so each is dealt over
     8 parts. Spark broadcasts that table only if its stored size allows it.
     """
-    rows = pages.select(
+    rows = small_batches(pages).select(
         F.col("page_id").cast("bigint"), F.col("url").cast("string"),
         F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary")).alias("payload"),
     )
