@@ -68,6 +68,8 @@ class Scanner:
 
     def scan(self, words: list[bytes]) -> tuple[set[int], np.ndarray]:
         """Items with a window in these words, and the places (start, stop) of windows."""
+        if not self.items:  # an automaton without words can't be searched
+            return set(), np.empty((0, 2), np.int64)
         joined = " " + b" ".join(words).decode("utf-8", "surrogatepass") + " "
         found = list(self.auto.iter(joined))
         if not found:
