@@ -149,9 +149,7 @@ def fit_linear(vectors: DataFrame, space: ft.FeatureSpace, C: float = 1.0) -> Re
         maxIter=MAX_ITERATIONS,
         tol=TOLERANCE,
     )
-    # Tasks of fewer than 1,000 rows cost more to schedule than to compute; this
-    # only ever merges partitions of small training sets.
-    fitted = solver.fit(vectors.coalesce(max(1, n // 1000)))
+    fitted = solver.fit(vectors)
     return ReviewModel(space, fitted.coefficients.toArray(), float(fitted.intercept))
 
 

@@ -14,9 +14,9 @@ def first_k(df: DataFrame, k: int, level: Column, order: list[Column]) -> DataFr
     values. A plain limit would send k rows of every partition to one task. Here a
     histogram of the levels finds the last level the first k rows can reach, and
     only rows up to it are sorted. If all rows share a level nothing is saved and
-    the result is still exact.
+    the result is still exact. Rows without a level come last.
     """
-    levelled = df.withColumn("_level", level)
+    levelled = df.withColumn("_level", F.coalesce(level.cast("bigint"), F.lit(2**62)))
     running = F.sum("n").over(W.orderBy("_level"))
     last = (
         levelled.groupBy("_level")

@@ -331,8 +331,7 @@ def q_route_matrix(spark, path):
 
 
 def q_score_reviews(spark, path):
-    accepted, _ = rv.validate(seeded(spark, path))
-    out = scoring.score_reviews(accepted, model(spark, path))
+    out = scoring.score_reviews(seeded(spark, path), model(spark, path))
     return out.select("review_id", "p_negative", "urgency", "route", *_signals())
 
 
@@ -505,18 +504,17 @@ def q_model_comparison(spark, path):
 
 def q_stream_scores(spark, path):
     """Score the documents as a stream into per-route folders and read those back."""
+    # A pattern, as it takes a single file as well as a folder of part files.
     source = (
         spark.readStream.schema("doc_id bigint, text string")
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(path)
+        .parquet(f"{path}/documents.parque[t]")
         .withColumnRenamed("doc_id", "review_id")
     )
     base = scratch_path(spark, "stream")
     sinks = {name: f"{base}/{name}" for name in (*ro.ROUTES, triage.REJECTS)}
 
     def scorer(batch: DataFrame) -> DataFrame:
-        spread = batch.repartition(spark.sparkContext.defaultParallelism, "review_id")
-        return scoring.score_given(spread, unlabelled_score(F.col("review_id")))
+        return scoring.score_given(batch, unlabelled_score(F.col("review_id")))
 
     query = triage.start_routing(with_sentence(source), scorer, sinks, f"{base}/checkpoint")
     query.awaitTermination()

@@ -487,8 +487,7 @@ def oracle_sql() -> dict[str, str]:
         "score_reviews": (
             f"WITH {SEEDED}, {RULES}, {SCORING}, {margins('m1', 'pm')} SELECT u.review_id, "
             f"{exact3('p', 4)} AS p_negative, urgency, {route_sql('p', 'urgency')} AS route, "
-            f"{SIGNAL_COLUMNS} FROM urgent u JOIN pm ON pm.review_id = u.review_id "
-            f"JOIN docs d ON d.review_id = u.review_id WHERE {REASON} = 'accepted'"
+            f"{SIGNAL_COLUMNS} FROM urgent u JOIN pm ON pm.review_id = u.review_id"
         ),
         "route_summary": (
             f"WITH {SEEDED}, {RULES}, {TRIAGED} SELECT r.route, count(t.route) AS n, "

@@ -18,16 +18,15 @@ INCOMING = T.StructType(
 )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a small input over all cores; leave an input of many files as it is.
+#: Session setting: input partitions for tables of few files. Unset, tables are read as
+#: they come, without a shuffle.
+INPUT_PARTITIONS = "voicelane.inputPartitions"
 
-    Text work is heavy per row. A table in one small file would be read by one
-    task, while a large table already comes in far more splits than cores.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores * 2, key)
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the input over the partitions that the session asks for, if it does."""
+    wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(wanted), key) if wanted else df
 
 
 def split_of(review_id: Column) -> Column:
@@ -95,10 +94,15 @@ def fan_out(scored: DataFrame, sinks: dict[str, str], mode: str = "append") -> N
     """Write each route's reviews to its own destination.
 
     The scores are stored once while they are written out; every sink then only
-    filters the stored rows.
+    filters the stored rows. A route without a sink is refused before anything is
+    written.
     """
     kept = response(scored).persist()
     try:
+        known = F.coalesce(F.col("route").isin(*sinks), F.lit(False))
+        lost = [r["route"] for r in kept.filter(~known).select("route").distinct().limit(10).collect()]
+        if lost:
+            raise ValueError(f"no sink for {lost}")
         for route, path in sinks.items():
             kept.filter(F.col("route") == route).write.mode(mode).json(path)
     finally:

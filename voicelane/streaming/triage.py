@@ -44,7 +44,8 @@ def start_routing(
 
     ``sinks`` maps every route and ``rejected`` to a path. Each micro-batch is
     scored once and overwrites its own ``batch_id`` folders, so a batch replayed
-    after a failure replaces its output instead of adding to it.
+    after a failure replaces its output instead of adding to it. An empty folder
+    ``batch_id=-1`` makes every sink readable before the first batch.
     """
     missing = {*ROUTES, REJECTS} - set(sinks)
     if missing:
@@ -62,6 +63,10 @@ def start_routing(
             scored.unpersist()
             judged.unpersist()
 
+    none = reviews.sparkSession.createDataFrame([], reviews.schema)
+    for name in (*ROUTES, REJECTS):
+        empty = none.withColumn("reason", F.lit("")) if name == REJECTS else response(scorer(none))
+        empty.write.mode("ignore").parquet(f"{sinks[name]}/batch_id=-1")
     writer = reviews.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
