@@ -135,3 +135,12 @@ def test_first_k_prunes_and_stays_exact(spark):
     same = first_k(df, 25, F.lit(1), [F.col("v")]).collect()
     assert [r["v"] for r in same] == list(range(25))
     assert first_k(df, 20_000, F.lit(1), [F.col("v")]).count() == 10_000
+
+
+def test_scores_that_are_no_numbers_reach_no_threshold(spark):
+    rows = [(0, 0.9), (1, 0.2), (0, None), (1, float("nan"))]
+    scored = spark.createDataFrame(rows, "label int, p_negative double")
+    curve = {round(r["t"], 2): r for r in th.profit_curve(scored, thresholds=[0.1, 0.5]).collect()}
+    each = th.Assumptions().reviews_per_month / 4
+    assert curve[0.1]["contacted"] == pytest.approx(2 * each)
+    assert curve[0.5]["contacted"] == pytest.approx(each) and curve[0.5]["precision"] == 1.0

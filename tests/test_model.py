@@ -127,3 +127,29 @@ def test_batch_score_batches_and_order(reviews):
     df = reviews(*["x" * n for n in range(30)])
     rows = mo.batch_score(df, make, batch_size=4).collect()
     assert {r["review_id"]: r["p_negative"] for r in rows} == {n: n / 100 for n in range(30)}
+
+
+def test_agreement_on_reads_once_and_equals_the_join(spark, corpus, model):
+    other = mo.ReviewModel(model.space, -model.coef, -model.intercept)
+    half = mo.ReviewModel(model.space, model.coef, model.intercept + 1.0)
+    for b in (other, half):
+        want = mo.agreement(model.with_p_negative(corpus), b.with_p_negative(corpus)).first()
+        got = mo.agreement_on(corpus, model, b).first()
+        assert got["n"] == want["n"] and got["agreement"] == pytest.approx(want["agreement"])
+    with pytest.raises(ValueError, match="common"):
+        mo.agreement_on(corpus, model, mo.ReviewModel(mo.fit_space(corpus), model.coef, 0.0))
+
+
+def test_robustness_of_an_empty_slice_is_null(spark, corpus):
+    long = corpus.withColumn("text", F.repeat(F.concat("text", F.lit(" ")), 20))
+    for row in studies.robustness(corpus, long).collect():
+        assert row["n_typo_short"] == 0 and row["f1_typo_short"] is None
+        assert row["gain_typo_short"] is None and row["n_clean"] == corpus.count()
+
+
+def test_shared_counts_give_the_same_space(corpus):
+    ready = mo.prepared(corpus)
+    counts = studies.shared_counts(ready, {("word", (1, 2)), ("char", (3, 5))})
+    a, b = mo.fit_space(corpus), mo.fit_space(ready, counts=counts)
+    assert [p.terms for p in a.parts] == [p.terms for p in b.parts]
+    assert all(np.allclose(x.idf, y.idf) for x, y in zip(a.parts, b.parts))

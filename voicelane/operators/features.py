@@ -16,8 +16,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,6 +34,11 @@ CHAR_RANGE = (3, 5)
 # ----------------------------------------------------------------------------
 
 
+def normed(df: DataFrame, text: str = "text") -> DataFrame:
+    """Add ``_norm``, the normalised text, unless an earlier step has added it."""
+    return df if "_norm" in df.columns else df.withColumn("_norm", tx.normalize(F.col(text)))
+
+
 def ngrams_of(
     norm: Column, block: str, span: tuple[int, int] | None, df: DataFrame
 ) -> DataFrame:
@@ -55,10 +60,9 @@ def ngrams_of(
 def with_ngrams(
     df: DataFrame, block: str, span: tuple[int, int] | None = None, text: str = "text"
 ) -> DataFrame:
-    """Add ``grams``, the n-gram array of one block, from raw text."""
-    normed = df.withColumn("_norm", tx.normalize(F.col(text)))
+    """Add ``grams``, the n-gram array of one block, from raw text (or its ``_norm``)."""
     return (
-        ngrams_of(F.col("_norm"), block, span, normed)
+        ngrams_of(F.col("_norm"), block, span, normed(df, text))
         .withColumnRenamed("_grams", "grams")
         .drop("_norm")
     )
@@ -85,7 +89,8 @@ def term_counts(
     Each review lists its n-grams and then its distinct n-grams, so both figures
     are plain sums and frequent terms combine before the shuffle.
     """
-    grams = with_ngrams(df.select("text"), block, span).select("grams")
+    source = df.select("_norm" if "_norm" in df.columns else "text")
+    grams = with_ngrams(source, block, span).select("grams")
     listed = grams.select(
         F.size("grams").alias("n"),
         F.posexplode(F.concat("grams", F.array_distinct("grams"))).alias("pos", "term"),
@@ -230,9 +235,12 @@ class FeatureSpace:
             if rows.empty:
                 continue
             place = rows.assign(id=np.arange(offset, offset + len(rows))).set_index("term")
-            counter = _word_counter(vocab.sparkSession, list(place.index)) if name == "word" else None
-            terms = list(counter.vocabulary) if counter else list(place.index)
-            place = place.loc[terms]
+            terms = list(place.index)
+            counter = None
+            if name == "word":
+                counter = CountVectorizerModel.from_vocabulary(
+                    terms, inputCol="_grams", outputCol="_vector"
+                )
             parts.append(
                 Block(name, span, terms, place["id"].to_numpy(), place["idf"].to_numpy(), counter)
             )
@@ -244,8 +252,12 @@ class FeatureSpace:
         return sum(len(part.terms) for part in self.parts)
 
     def with_inputs(self, df: DataFrame, text: str = "text") -> DataFrame:
-        """Add the scratch columns: counts of known word n-grams, normalised text."""
-        df = df.withColumn("_norm", tx.normalize(F.col(text)))
+        """Add the scratch columns: counts of known word n-grams, normalised text.
+
+        A column ``_norm`` that is already there is used and kept.
+        """
+        given = "_norm" in df.columns
+        df = normed(df, text)
         for part in self.parts:
             if part.counter is None:
                 df = df.withColumn("_char_norm", F.col("_norm"))
@@ -258,7 +270,7 @@ class FeatureSpace:
                 .withColumn("_word_counts", F.col("_vector.values"))
                 .drop("_grams", "_vector")
             )
-        return df.drop("_norm")
+        return df if given else df.drop("_norm")
 
     def scratch(self) -> list[str]:
         return [c for part in self.parts for c in part.inputs()]
@@ -336,14 +348,6 @@ class FeatureSpace:
         )
 
 
-def _word_counter(spark: SparkSession, terms: list[str]) -> CountVectorizerModel:
-    """A counter for exactly these terms, in an order of its own."""
-    listed = spark.createDataFrame(pa.table({"_grams": pa.array([[t] for t in terms])}))
-    return CountVectorizer(
-        inputCol="_grams", outputCol="_vector", vocabSize=len(terms), minDF=1.0
-    ).fit(listed)
-
-
 def tfidf(df: DataFrame, space: FeatureSpace) -> DataFrame:
     """Long table review_id, block, feature_id, weight (unit length per block)."""
     counted = space.with_inputs(df.select("review_id", "text"))

@@ -201,9 +201,13 @@ def surviving_churn(
 def prepare(
     df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON, text: str = "text"
 ) -> DataFrame:
-    """Add ``norm``, ``tokens`` and ``typos``, the inputs of every matcher below."""
+    """Add ``norm``, ``tokens`` and ``typos``, the inputs of every matcher below.
+
+    A column ``_norm`` of an earlier step is taken as the normalised text.
+    """
+    norm = F.col("_norm") if "_norm" in df.columns else tx.normalize(F.col(text))
     return (
-        df.withColumn("norm", tx.normalize(F.col(text)))
+        df.withColumn("norm", norm)
         .withColumn("tokens", tx.tokens(F.col("norm")))
         .withColumn("typos", typos("tokens", lexicon))
     )

@@ -43,14 +43,17 @@ class ReviewModel:
 
     def with_p_negative(self, df: DataFrame, text: str = "text") -> DataFrame:
         """Add ``p_negative``, unrounded. Row-local; unknown text keeps the intercept."""
-        z = F.lit(float(self.intercept)) + F.col("_margin")
         df = self.space.with_inputs(df, text).withColumn(
             "_margin", self.space.margin(self.coef)
         )
         return computed_once(
-            df.drop(*self.space.scratch()), "p_negative", 1.0 - 1.0 / (1.0 + F.exp(-z))
+            df.drop(*self.space.scratch()), "p_negative", self.probability(F.col("_margin"))
         ).drop("_margin")
 
+    def probability(self, margin: Column) -> Column:
+        """P(negative) from the margin without intercept."""
+        return 1.0 - 1.0 / (1.0 + F.exp(-(F.lit(float(self.intercept)) + margin)))
+
     def features_frame(self, spark: SparkSession) -> DataFrame:
         """block, term, feature_id, idf, coef; ids run on from words to characters."""
         rows = pd.concat(
@@ -108,17 +111,35 @@ def fit_space(
     ngram: tuple[int, int] = ft.WORD_RANGE,
     char_ngram: tuple[int, int] = ft.CHAR_RANGE,
     use_char: bool = True,
+    counts: dict[tuple, DataFrame] | None = None,
 ) -> ft.FeatureSpace:
-    """Vocabulary and idf from training reviews."""
-    vocab = ft.build_vocab(ft.term_counts(train, "word", ngram), "word", max_features)
+    """Vocabulary and idf from training reviews.
+
+    ``counts`` may hold tables of ``features.term_counts`` by (block, span); several
+    vocabularies can be cut from one.
+    """
+
+    def cut(block: str, span: tuple[int, int]) -> DataFrame:
+        known = (counts or {}).get((block, span))
+        return ft.build_vocab(
+            ft.term_counts(train, block, span) if known is None else known, block, max_features
+        )
+
+    vocab = cut("word", ngram)
     if use_char:
-        chars = ft.build_vocab(ft.term_counts(train, "char", char_ngram), "char", max_features)
-        vocab = vocab.unionByName(chars)
+        vocab = vocab.unionByName(cut("char", char_ngram))
     return ft.FeatureSpace.from_vocab(
         ft.with_idf(vocab, F.lit(train.count())), word_range=ngram, char_range=char_ngram
     )
 
 
+def prepared(train: DataFrame) -> DataFrame:
+    """label and ``_norm`` of training rows, stored once: every later pass reads those."""
+    path = scratch_path(train.sparkSession, "train")
+    ft.normed(train.select("label", "text")).select("label", "_norm").write.parquet(path)
+    return train.sparkSession.read.parquet(path)
+
+
 def write_vectors(train: DataFrame, space: ft.FeatureSpace) -> DataFrame:
     """Vectorised training rows, written once and read back as ML vectors.
 
@@ -127,7 +148,7 @@ def write_vectors(train: DataFrame, space: ft.FeatureSpace) -> DataFrame:
     """
     spark = train.sparkSession
     path = scratch_path(spark, "vectors")
-    vectors = space.vectorize(train.select("label", "text")).select(
+    vectors = space.vectorize(ft.normed(train).select("label", "_norm")).select(
         F.col("label").cast("double").alias("label"), "features"
     )
     vectors.write.parquet(path)
@@ -154,7 +175,9 @@ def fit_linear(vectors: DataFrame, space: ft.FeatureSpace, C: float = 1.0) -> Re
 
 
 def fit(train: DataFrame, C: float = 1.0, **space_options) -> ReviewModel:
-    """Fit the whole model on ``train`` (text, label)."""
+    """Fit the whole model on ``train`` (text, label; or a frame from ``prepared``)."""
+    if "_norm" not in train.columns:
+        train = prepared(train)
     space = fit_space(train, **space_options)
     return fit_linear(write_vectors(train, space), space, C)
 
@@ -207,6 +230,26 @@ def agreement(a: DataFrame, b: DataFrame, threshold: float = 0.5) -> DataFrame:
     )
 
 
+def agreement_on(
+    df: DataFrame, a: ReviewModel, b: ReviewModel, threshold: float = 0.5
+) -> DataFrame:
+    """``agreement`` of two models over one feature space: every text is read once."""
+    if a.space is not b.space:
+        raise ValueError("the models need a common feature space")
+    read = a.space.with_inputs(df)
+    for name, model in (("_a", a), ("_b", b)):
+        read = read.withColumn(name, model.space.margin(model.coef))
+    same = (a.probability(F.col("_a")) >= threshold) == (b.probability(F.col("_b")) >= threshold)
+    return read.agg(
+        F.count(F.lit(1)).alias("n"), F.avg(same.cast("double")).alias("agreement")
+    )
+
+
+def write_export(features: DataFrame, intercept: float, path: str) -> None:
+    """The exported model as one ordered JSON file; its rows are bounded by max_features."""
+    export_model(features, intercept).coalesce(1).write.json(path)
+
+
 def batch_score(
     df: DataFrame,
     make_scorer: Callable[[], Callable[[list[str]], np.ndarray]],

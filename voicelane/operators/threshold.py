@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 class Assumptions:
     """Monthly business case."""
 
-    # --- fixed values ---
+    # --- fixed values -------------------------------------------------------
     reviews_per_month: int = 300_000
     p_at_risk: float = 0.30
     win_back_rate: float = 0.15
     arpu: float = 10.0
     retained_months: int = 6
     contact_cost: float = 1.0
+    # ------------------------------------------------------------------------
 
     @property
     def value_per_save(self) -> float:
@@ -50,15 +51,18 @@ def profit_curve(
     """t_no, t, contacted, caught, profit, precision for every threshold.
 
     One pass puts each score between two thresholds and counts; a running sum
-    from the top over those few buckets gives what each threshold flags.
+    from the top over those few buckets gives what each threshold flags. A null or
+    NaN score reaches no threshold and counts in the total only.
     """
     a = assumptions or Assumptions()
     grid = sorted(default_grid() if thresholds is None else thresholds)
     bucketizer = Bucketizer(
         splits=[float("-inf"), *grid, float("inf")], inputCol="p_negative", outputCol="_bucket"
     )
+    lowest = F.lit(float("-inf"))
+    score = F.coalesce(F.nanvl(F.col("p_negative").cast("double"), lowest), lowest)
     counts = (
-        bucketizer.transform(scored.select("label", "p_negative"))
+        bucketizer.transform(scored.select("label", score.alias("p_negative")))
         .groupBy(F.col("_bucket").cast("int").alias("t_no"))
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 0).alias("neg"))
     )

@@ -60,7 +60,7 @@ SEEDED = (
     f"{str_list(cat.SENTENCES)}, CAST(doc_id % {len(cat.SENTENCES)} AS INT) + 1) AS text "
     "FROM documents)"
 )
-TURNS = "docs AS (SELECT conv_id * 100000 + turn AS review_id, text FROM conversations)"
+TURNS = f"docs AS (SELECT conv_id * {cat.TURN_IDS} + turn AS review_id, text FROM conversations)"
 NORMED = f"normed AS (SELECT review_id, {norm('text')} AS norm FROM docs)"
 LABELLED = (
     "labelled AS (SELECT d.doc_id AS review_id, d.text, l.quality AS label, CASE WHEN "
@@ -362,7 +362,88 @@ REASON = (
 SIGNAL_COLUMNS = "churn_phrases, money_phrases, anger_words, intensity"
 
 
+TRAIN = "docs AS (SELECT review_id, text FROM labelled WHERE split = 'train')"
+TRAIN_VOCABULARY = ", ".join(
+    [
+        LABELLED, TRAIN, NORMED, word_grams("normed", "gw"), char_grams("normed", "gc"),
+        "g1 AS (SELECT review_id, unnest(w) AS term FROM gw_w)",
+        vocab_cte("word", "g1", "v1", 2), vocab_cte("word", "gw", "vw", 2),
+        vocab_cte("char", "gc", "vc", 3),
+        "n AS (SELECT (SELECT count(*) FROM v1) AS uni, (SELECT count(*) FROM vw) AS word, "
+        "(SELECT count(*) FROM vc) AS chars, count(*) FILTER (split = 'test' AND label = 0) AS neg, "
+        "count(*) FILTER (split = 'test' AND label <> 0) AS other, "
+        "count(*) FILTER (split = 'train') AS train, "
+        "count(*) FILTER (split = 'train' AND label = 0) AS train_neg FROM labelled)",
+    ]
+)
+DOC_WEIGHTS = ", ".join([DOCS, NORMED, vocabulary(DOCS), word_grams("normed", "gw"),
+                         char_grams("normed", "gc"), weights("gw", "gc")])
+
+
+def added_oracles(known: dict[str, str]) -> dict[str, str]:
+    """Round trips, figures of fitted models and sums over the review corpus."""
+    written = (
+        f"WITH {SEEDED}, {RULES}, {TRIAGED} SELECT review_id, p_negative, urgency, route FROM triaged"
+    )
+    sweep_sizes = ("least(3000, uni)", "uni", "word", "word", "word", "word + chars")
+    per_review = "count(*) AS n_terms, round(sum(weight), 5) AS total, sum(joint_id)::BIGINT AS id_sum"
+    return {
+        "exported_model": known["model_export"],
+        "saved_model": known["score_linear"],
+        "written_scores": written,
+        "fanned_out": written,
+        "incoming_reviews": (
+            f"WITH {DOCS} SELECT review_id, text, NULL::VARCHAR AS raw, {REASON} AS status FROM docs "
+            "WHERE review_id % 50 <> 7 UNION ALL SELECT NULL, NULL, 'no json: ' || review_id, "
+            "'malformed' FROM docs WHERE review_id % 50 = 7"
+        ),
+        "logged_runs": (
+            f"WITH {LABELLED}, {SCORED}, c AS (SELECT lang, {counts(0.4)} FROM scored JOIN documents "
+            f"ON doc_id = review_id GROUP BY lang), r AS (SELECT lang, {rates()} FROM c) "
+            "SELECT lang AS experiment, lang AS name, '0.4' AS threshold, f1_negative, "
+            "recall_negative, precision_negative FROM r"
+        ),
+        "char_ngrams_documents": (
+            f"WITH {DOCS}, {NORMED}, {char_grams('normed', 'gc')} SELECT d.review_id, "
+            "count(term) AS n_grams, count(DISTINCT term) AS n_terms FROM docs d LEFT JOIN gc "
+            "ON gc.review_id = d.review_id GROUP BY d.review_id"
+        ),
+        "tfidf_documents": (
+            f"WITH {DOC_WEIGHTS} SELECT review_id, block, {per_review} FROM weights "
+            "GROUP BY review_id, block"
+        ),
+        "feature_union_documents": (
+            f"WITH {DOC_WEIGHTS} SELECT review_id, {per_review} FROM weights GROUP BY review_id"
+        ),
+        "fit_model_checks": (
+            f"WITH {TRAIN_VOCABULARY} SELECT train AS n_train, train_neg AS train_negative, "
+            "neg AS test_negative, other AS test_other, word AS word_features, "
+            "chars AS char_features, true AS intercept_settled FROM n"
+        ),
+        "config_sweep_checks": (
+            f"WITH {TRAIN_VOCABULARY} "
+            + " UNION ALL ".join(
+                f"SELECT {no} AS config_no, {quote(cfg.name)} AS name, {size} AS n_features, "
+                "neg AS n_negative, other AS n_other FROM n"
+                for no, (cfg, size) in enumerate(zip(studies.CONFIGS, sweep_sizes, strict=True))
+            )
+        ),
+        "robustness_checks": (
+            f"WITH {LABELLED}, n AS (SELECT count(*) AS every, count(*) FILTER ("
+            f"len(regexp_extract_all(text, '[^{WS}]+')) <= 40) AS short FROM labelled "
+            "WHERE split = 'test') SELECT features, every AS n_clean, every AS n_typo, "
+            "short AS n_typo_short, true AS base_has_no_gain FROM n, "
+            "(SELECT unnest(['word', 'word+char']) AS features)"
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
+    known = base_oracles()
+    return known | added_oracles(known)
+
+
+def base_oracles() -> dict[str, str]:
     even = "round_even({0} * 10000, 0) / 10000"
     return {
         "load_reviews": f"WITH {LABELLED} SELECT review_id, text, label, split FROM labelled",
@@ -402,7 +483,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "normalize_text": (
             f"WITH {SEEDED}, texts AS (SELECT 'document' AS kind, review_id, text FROM docs "
-            "UNION ALL SELECT 'turn', conv_id * 100000 + turn, text FROM conversations "
+            f"UNION ALL SELECT 'turn', conv_id * {cat.TURN_IDS} + turn, text FROM conversations "
             "UNION ALL SELECT 'page', page_id, html FROM pages) "
             f"SELECT kind, review_id, {norm('text')} AS norm FROM texts"
         ),

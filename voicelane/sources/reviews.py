@@ -52,9 +52,18 @@ def read_reviews(
     fmt: str = "json",
     streaming: bool = False,
     files_per_trigger: int | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
-    """Unscored reviews as a batch or a stream, under a fixed schema."""
-    reader = (spark.readStream if streaming else spark.read).schema(INCOMING).format(fmt)
+    """Unscored reviews as a batch or a stream, under a fixed schema.
+
+    ``malformed`` names a column for lines that can't be parsed, kept as they came.
+    """
+    schema = T.StructType(list(INCOMING))
+    reader = (spark.readStream if streaming else spark.read).format(fmt)
+    if malformed:
+        schema = schema.add(malformed, T.StringType())
+        reader = reader.option("columnNameOfCorruptRecord", malformed)
+    reader = reader.schema(schema)
     if streaming and files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)
@@ -70,9 +79,15 @@ def reject_reason(text: Column) -> Column:
     )
 
 
-def validate(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split into accepted reviews and rejected ones with a reason."""
-    judged = df.withColumn("reason", reject_reason(F.col("text")))
+def validate(df: DataFrame, malformed: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split into accepted reviews and rejected ones with a reason.
+
+    ``malformed`` is the column of ``read_reviews`` with lines that can't be parsed.
+    """
+    reason = reject_reason(F.col("text"))
+    if malformed:
+        reason = F.when(F.col(malformed).isNotNull(), "malformed").otherwise(reason)
+    judged = df.withColumn("reason", reason)
     return (
         judged.filter(F.col("reason").isNull()).drop("reason"),
         judged.filter(F.col("reason").isNotNull()),
