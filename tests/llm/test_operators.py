@@ -71,6 +71,12 @@ def test_quality_lines_and_odd_inputs(spark, odd):
     got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), rules=rules).collect()}
     assert all(got[k]["kept"] for k in range(30)) and got[5]["left_words"] == 60
     assert [k for k in range(100, 130) if got[k]["kept"]] == [100]
+    more = [(k, t, "h", 0, "e") for k, t, _ in rows] + [(200, own[3] + "\nsame line here", "other", 0, "e"), (None, own[4] + " z\nSAME line here", "h", 0, "e")]
+    df = spark.createDataFrame(more, "doc_id bigint, text string, source string, n_chars int, __hashes_of string")
+    left = {r["doc_id"]: r for r in quality.keep(df, rules=rules).collect()}
+    assert set(left) == {*range(30), 100, 200, None} and left[None]["text"] == more[-1][1]
+    assert all(left[k]["text"] == own[k] and left[k]["n_chars"] == len(own[k]) for k in range(1, 30))
+    assert left[0]["text"] == rows[0][1] and left[0]["n_chars"] == 0 and left[200]["text"] == more[-2][1]
     some, none = odd
     assert quality.judge(some).count() == len(ODD) and quality.judge(none).count() == 0
     assert not quality.keep(some).count() and quality.keep(none).count() == 0

@@ -4,10 +4,12 @@ Lines are normalised (ASCII case, blanks) and hashed with their host. A line tha
 more documents of a host hold than a limit allows is boilerplate: it is taken out of
 all of them but the first (the one with the smallest id). A document is rejected if
 it fails the base rules, or if it is depleted, that is if too little is left of it.
+``judge`` tells what would be left, ``keep`` takes out lines and documents.
 
 Null and empty texts have no words and fail the base rules. Each row counts as one
-document; rows that repeat an id and its text get equal results. Hosts may be null.
-Extra columns are ignored by ``judge`` and kept by ``keep``.
+document; rows that repeat an id and its text get equal results. Rows without an id
+are judged like others, but ``keep`` leaves their lines in. Hosts may be null. Extra
+columns are ignored by ``judge`` and kept by ``keep``.
 """
 
 from __future__ import annotations
@@ -16,12 +18,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from voicelane.llm.common import record_batch, slices, small_batches, staged, utf8, without
+from voicelane.llm.common import (
+    marked_rows, record_batch, slices, small_batches, staged, utf8, without,
+)
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -67,6 +73,12 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
+def line_key(line: str) -> tuple[int, int] | None:
+    """Hash of a line without case and surplus blanks, and its words; None without words."""
+    inside = utf8(line).lower().split()
+    return (xxhash.xxh3_64_intdigest(b" ".join(inside)), len(inside)) if inside else None
+
+
 def describe(text: str | None) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lines of one text.
 
@@ -76,13 +88,13 @@ def describe(text: str | None) -> tuple:
     words = utf8(text).split()
     seen, lines, duplicates = set(), {}, 0
     for line in text.split("\n"):
-        inside = utf8(line).lower().split()
-        if not inside:
+        found = line_key(line)
+        if not found:
             continue
         duplicates += line in seen
         seen.add(line)
-        key = xxhash.xxh3_64_intdigest(b" ".join(inside))
-        lines[key] = lines.get(key, 0) + len(inside)
+        key, size = found
+        lines[key] = lines.get(key, 0) + size
     return (
         len(words),
         len(text) - sum(map(text.count, BLANKS)),
@@ -98,15 +110,35 @@ _TYPES = [
 ]
 
 
+def _host_key(host: str | None) -> int:
+    return xxhash.xxh3_64_intdigest(utf8(host)) + (host is None)
+
+
 def _with_host(key: int, host: int) -> int:
     return (key ^ host * 0x9E3779B97F4A7C15) % 2**64 - 2**63
 
 
+def without_lines(text: str, host: str | None, hashes: set[int]) -> str:
+    """A text less its lines with one of ``hashes`` (as ``judge`` forms them)."""
+    own, left = _host_key(host), []
+    for line in text.split("\n"):
+        found = line_key(line)
+        if not found or _with_host(found[0], own) not in hashes:
+            left.append(line)
+    return "\n".join(left)
+
+
+@F.pandas_udf(T.StringType())
+def _stripped(text: pd.Series, host: pd.Series, hashes: pd.Series) -> pd.Series:
+    rows = zip(text, host, hashes, strict=True)
+    return pd.Series([t if t is None or k is None else without_lines(t, h, set(k.tolist())) for t, h, k in rows], dtype=object)
+
+
 def _describe_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in FEATURES.split(", ")]
     for part in slices(batches):
         texts = part.column("text").to_pylist()
-        hosts = [xxhash.xxh3_64_intdigest(utf8(h)) + (h is None) for h in part.column("host").to_pylist()]
+        hosts = [_host_key(h) for h in part.column("host").to_pylist()]
         rows = [describe(t) for t in texts]
         columns = [
             part.column("doc_id"), part.column("host"),
@@ -118,14 +150,17 @@ def _describe_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield record_batch(columns, names, _TYPES)
 
 
-def judge(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> DataFrame:
-    """Per document row: base statistics, base_failed, words left and kept.
+def _described(docs: DataFrame, host: str) -> DataFrame:
+    rows = small_batches(docs).select(F.col("doc_id").cast("bigint"), "text", F.col(host).cast("string").alias("host"))
+    return staged(rows.mapInArrow(_describe_batches, FEATURES), "lines")
+
+
+def _boilerplate(described: DataFrame, rules: Rules) -> DataFrame:
+    """doc_id, text_hash, line_hashes, line_words of lines to be taken out.
 
     Counting is one shuffle of line hashes that combines on the map side. Only lines
     above the limit are joined back, and each such line is dealt over 16 parts.
     """
-    rows = small_batches(docs).select(F.col("doc_id").cast("bigint"), "text", F.col(host).cast("string").alias("host"))
-    described = staged(rows.mapInArrow(_describe_batches, FEATURES), "lines")
     lines = described.select(
         "doc_id", "text_hash", "host",
         F.explode(F.arrays_zip("line_hashes", "line_words")).alias("line"),
@@ -143,12 +178,14 @@ def judge(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> Data
         "line", "first", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("part")
     )
     dealt = lines.withColumn("part", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(16)).cast("int"))
-    removed = (
-        dealt.join(common, (F.col("line_hashes") == F.col("line")) & (dealt["part"] == common["part"]))
-        .filter(~F.col("doc_id").eqNullSafe(F.col("first")))
-        .groupBy("doc_id", "text_hash")
-        .agg(F.sum("line_words").alias("removed"))
+    met = dealt.join(common, (F.col("line_hashes") == F.col("line")) & (dealt["part"] == common["part"]))
+    return met.filter(~F.col("doc_id").eqNullSafe(F.col("first"))).select(
+        "doc_id", "text_hash", "line_hashes", "line_words"
     )
+
+
+def _verdicts(described: DataFrame, boilerplate: DataFrame, rules: Rules) -> DataFrame:
+    removed = boilerplate.groupBy("doc_id", "text_hash").agg(F.sum("line_words").alias("removed"))
     # Rows that repeat an id and its text share one sum, so each takes its part of it.
     same = described.groupBy("doc_id", "text_hash").agg(F.count("*").alias("_rows"))
     removed = removed.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "removed")
@@ -176,10 +213,33 @@ def judge(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> Data
     )
 
 
+def judge(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> DataFrame:
+    """Per document row: base statistics, base_failed, words left and kept."""
+    described = _described(docs, host)
+    return _verdicts(described, _boilerplate(described, rules), rules)
+
+
 def keep(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> DataFrame:
-    """Documents that pass, with all their columns.
+    """Documents that pass, without boilerplate lines, with all their columns.
 
     Rows that share an id (or have none) go together: if one is rejected, all go.
+    ``n_chars``, if there, follows a changed text.
     """
-    bad = judge(docs, host, rules).filter(~F.col("kept")).select("doc_id").distinct()
-    return without(docs, staged(bad, "rejected"))
+    described = _described(docs, host)
+    lines = staged(_boilerplate(described, rules), "boilerplate")
+    bad = _verdicts(described, lines, rules).filter(~F.col("kept")).select("doc_id").distinct()
+    bad = staged(bad.withColumnRenamed("doc_id", "__id"), "rejected")
+    # Of one id, no more hashes than there are boilerplate lines.
+    changed = staged(
+        lines.withColumnRenamed("doc_id", "__id").join(bad, "__id", "left_anti").filter("__id is not null")
+        .groupBy("__id").agg(F.collect_set("line_hashes").alias("__hashes")),
+        "stripped",
+    )
+    marked = marked_rows(docs, bad.union(changed.select("__id")))
+    met = marked.filter("__maybe").join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    met = met.join(changed, F.col("doc_id") == F.col("__id"), "left")
+    met = met.withColumn("text", _stripped("text", F.col(host).cast("string"), "__hashes"))
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        met = met.withColumn("n_chars", F.when(F.col("__hashes").isNull(), F.col("n_chars")).otherwise(size))
+    return marked.filter("not __maybe").select(*docs.columns).union(met.select(*docs.columns))
