@@ -156,6 +156,36 @@ def test_passages_find_and_cut(spark, odd):
     assert passages.cut(some.drop("__maybe")).count() == len(ODD) and passages.cut(none.drop("__maybe")).count() == 0
 
 
+def edited_copies(groups, size, n_words, edits):
+    """Groups of copies of one passage with some words exchanged, each in text of its own."""
+    rows, k = [], 0
+    for g in range(groups):
+        passage, rng = prose(7000 + g, n_words), random.Random(g)
+        for i in range(size):
+            own = list(passage)
+            for at in rng.sample(range(5, n_words - 5), edits if i != 1 else 0):
+                own[at] = f"edit{rng.randrange(10**9)}"
+            rows.append((k, " ".join(prose(8000 + k, 60) + own + prose(9000 + k, 60))))
+            k += 1
+    return rows
+
+
+def test_passages_all_partners_of_edited_copies(spark):
+    # Copies are alike enough to the second of a group, but not to each other.
+    rows = edited_copies(8, 40, 60, 1)
+    hashes = WordHashes()
+    shingles = [shingle_hashes(word_hashes(t, hashes)) for _, t in rows]
+    want = set()
+    for b, _ in rows:
+        for a in range(b // 40 * 40, b):
+            if passages.shared_passages(shingles[b], shingles[a], passages.DEFAULT):
+                want.add(b)
+                break
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["b"] for r in passages.find_passages(df).select("b").distinct().collect()}
+    assert len(want) > 250 and len(want - got) <= 0.02 * len(want) and not got - want
+
+
 def test_toxic_held_out(spark, odd):
     rng = random.Random(5)
     rows = []
