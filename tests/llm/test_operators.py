@@ -84,6 +84,21 @@ def test_quality_lines_and_odd_inputs(spark, odd):
     assert quality.repeated_words(b"a b c a b c".split()) == 6
 
 
+def test_verdicts_are_per_text(spark):
+    # Rows without an id or with one id, each with a text of its own.
+    good, passage = [" ".join(prose(50 + k, 90)) for k in range(5)], prose(60, 80)
+    rows = [(None, "short"), (None, good[0]), (1, "short"), (1, good[1]), (2, good[2]), (None, good[3]), (3, "other " + good[3])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("source", lm.F.lit("h"))
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in quality.keep(df).collect())
+    assert kept == sorted((str(k), t) for k, t in rows if t != "short")
+    bench = spark.createDataFrame([(1, " ".join(prose(53, 90)[20:40]))], "item_id bigint, text string")
+    clean = sorted((str(r["doc_id"]), r["text"]) for r in decontam.clean(df, bench).collect())
+    assert clean == sorted((str(k), t) for k, t in rows if good[3] not in t)
+    two = [(1, " ".join(passage)), (2, "a " + " ".join(prose(61, 70) + passage)), (2, "b " + " ".join(passage + prose(62, 70))), (None, good[0])]
+    cut = sorted((str(r["doc_id"]), r["text"].split()) for r in passages.cut(spark.createDataFrame(two, "doc_id bigint, text string")).collect())
+    assert cut == sorted([("1", passage), ("2", ["a", *prose(61, 70)]), ("2", ["b", *prose(62, 70)]), ("None", good[0].split())])
+
+
 def test_chat_round_trip(spark):
     rng = random.Random(3)
     bits = ["<s>", "</s>", "[INST]", "<\\s>", "<", "\\", "[/INST]", "<+>", "<t>", "é", " ", "<\\\\+>", "\n"]

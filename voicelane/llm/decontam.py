@@ -159,8 +159,11 @@ def find_contamination(
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents without any benchmark window, with all their columns.
 
-    Documents are told apart by their id, so rows that share an id (or have none) go
-    together: if one is contaminated, all go.
+    Rows are told apart by a hash of id and text, so each text of an id (or of none)
+    has a verdict of its own.
     """
-    bad = find_contamination(docs, benchmark, window).filter("n_hit > 0").select("doc_id").distinct()
-    return without(docs, staged(bad, "contaminated"))
+    own = F.xxhash64(F.col("doc_id").cast("bigint"), "text")
+    rows = docs.withColumns({"__doc_id": F.col("doc_id"), "doc_id": own})
+    bad = find_contamination(rows, benchmark, window).filter("n_hit > 0").select("doc_id").distinct()
+    left = without(rows, staged(bad, "contaminated"))
+    return left.withColumn("doc_id", F.col("__doc_id")).select(*docs.columns)

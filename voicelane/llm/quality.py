@@ -114,6 +114,10 @@ def _host_key(host: str | None) -> int:
     return xxhash.xxh3_64_intdigest(utf8(host)) + (host is None)
 
 
+def _hashed(text: str | None) -> int:
+    return xxhash.xxh3_64_intdigest(utf8(text)) - 2**63
+
+
 def _with_host(key: int, host: int) -> int:
     return (key ^ host * 0x9E3779B97F4A7C15) % 2**64 - 2**63
 
@@ -134,6 +138,11 @@ def _stripped(text: pd.Series, host: pd.Series, hashes: pd.Series) -> pd.Series:
     return pd.Series([t if t is None or k is None else without_lines(t, h, set(k.tolist())) for t, h, k in rows], dtype=object)
 
 
+@F.pandas_udf(T.LongType())
+def _text_hash(text: pd.Series) -> pd.Series:
+    return pd.Series([_hashed(t) for t in text], dtype="int64")
+
+
 def _describe_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in FEATURES.split(", ")]
     for part in slices(batches):
@@ -142,7 +151,7 @@ def _describe_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         rows = [describe(t) for t in texts]
         columns = [
             part.column("doc_id"), part.column("host"),
-            [xxhash.xxh3_64_intdigest(utf8(t)) - 2**63 for t in texts],
+            [_hashed(t) for t in texts],
             *[[r[k] for r in rows] for k in range(5)],
             [[_with_host(k, h) for k in r[5]] for r, h in zip(rows, hosts, strict=True)],
             [list(r[5].values()) for r in rows],
@@ -207,7 +216,7 @@ def _verdicts(described: DataFrame, boilerplate: DataFrame, rules: Rules) -> Dat
         .withColumn("left_words", left)
         .withColumn("kept", ~failed & (left >= rules.min_left * F.col("n_words")) & (left > 0))
         .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+            "doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             "base_failed", "left_words", "kept",
         )
     )
@@ -216,28 +225,30 @@ def _verdicts(described: DataFrame, boilerplate: DataFrame, rules: Rules) -> Dat
 def judge(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> DataFrame:
     """Per document row: base statistics, base_failed, words left and kept."""
     described = _described(docs, host)
-    return _verdicts(described, _boilerplate(described, rules), rules)
+    return _verdicts(described, _boilerplate(described, rules), rules).drop("text_hash")
 
 
 def keep(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> DataFrame:
     """Documents that pass, without boilerplate lines, with all their columns.
 
-    Rows that share an id (or have none) go together: if one is rejected, all go.
-    ``n_chars``, if there, follows a changed text.
+    Rows are told apart by id and text, so each text of an id (or of none) has a verdict
+    and lines of its own. ``n_chars``, if there, follows a changed text.
     """
     described = _described(docs, host)
     lines = staged(_boilerplate(described, rules), "boilerplate")
-    bad = _verdicts(described, lines, rules).filter(~F.col("kept")).select("doc_id").distinct()
-    bad = staged(bad.withColumnRenamed("doc_id", "__id"), "rejected")
-    # Of one id, no more hashes than there are boilerplate lines.
+    named = {"doc_id": "__id", "text_hash": "__hash"}
+    bad = _verdicts(described, lines, rules).filter(~F.col("kept")).select("doc_id", "text_hash").distinct()
+    bad = staged(bad.withColumnsRenamed(named), "rejected")
+    # Of one text, no more hashes than there are boilerplate lines.
     changed = staged(
-        lines.withColumnRenamed("doc_id", "__id").join(bad, "__id", "left_anti").filter("__id is not null")
-        .groupBy("__id").agg(F.collect_set("line_hashes").alias("__hashes")),
+        lines.withColumnsRenamed(named).join(bad, ["__id", "__hash"], "left_anti").filter("__id is not null")
+        .groupBy("__id", "__hash").agg(F.collect_set("line_hashes").alias("__hashes")),
         "stripped",
     )
-    marked = marked_rows(docs, bad.union(changed.select("__id")))
-    met = marked.filter("__maybe").join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
-    met = met.join(changed, F.col("doc_id") == F.col("__id"), "left")
+    marked = marked_rows(docs, bad.select("__id").union(changed.select("__id")))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash"))
+    met = marked.filter("__maybe").withColumn("__own", _text_hash("text")).join(bad, same, "left_anti")
+    met = met.join(changed, same, "left")
     met = met.withColumn("text", _stripped("text", F.col(host).cast("string"), "__hashes"))
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
