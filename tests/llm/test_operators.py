@@ -201,6 +201,20 @@ def test_passages_all_partners_of_edited_copies(spark):
     assert len(want) > 250 and len(want - got) <= 0.02 * len(want) and not got - want
 
 
+def test_passages_directly_behind_each_other():
+    hashes, mine = WordHashes(), []
+    sh = lambda words: shingle_hashes(word_hashes(" ".join(words), hashes))
+    each = [prose(30 + k, 60) for k in range(3)]
+    a = [*each[2], *prose(40, 50), *each[0], *prose(41, 50), *each[1]]
+    edited = [[*x[:30], f"new{k}", *x[31:]] for k, x in enumerate(each)]
+    x, y, z = each
+    for b, starts in (([*z, "u", "v", "w", *x, *y], (0, 63, 123)), ([*edited[0], *edited[1]], (0, 60)), ([*x, *edited[1]], (0, 60))):
+        found = passages.shared_passages(sh(b), sh(a), passages.DEFAULT)
+        mine.append([any(i <= s + 2 and j >= s + 53 for i, j, *_ in found) for s in starts])
+        assert len(found) == len(set(found)) and all(f[4] >= 0.8 for f in found)
+    assert mine == [[True] * 3, [True] * 2, [True] * 2]
+
+
 def test_toxic_held_out(spark, odd):
     rng = random.Random(5)
     rows = []
