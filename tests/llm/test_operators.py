@@ -354,6 +354,18 @@ def test_bagminhash(spark, odd, texts):
     assert bagminhash.dedupe(some.drop("__maybe")).count() == len(ODD) - 1 and bagminhash.classes(none).count() == 0
 
 
+def test_bagminhash_twins_in_a_template(spark):
+    # Pages of one template are 0.77 to each other, a twin is 0.83 to its page.
+    template, rows = prose(70, 204), []
+    tail = lambda k: [f"own{k}x{i}" for i in range(30)]
+    rows += [(k, " ".join(template + tail(k))) for k in range(400)]
+    rows += [(1000 + k, " ".join(template + tail(k)[:8] + tail(1000 + k)[:22])) for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in bagminhash.classes(df).collect()}
+    lost = [k for k in range(200) if got[1000 + k] != k]
+    assert not lost and all(got[k] == k for k in range(400))
+
+
 def test_decontamination_blocks_and_spans(spark, odd):
     item = prose(7, 14)
     bench = spark.createDataFrame([(1, " ".join(item)), (2, "Short, one!"), (3, None), (4, " ..."), (5, " ".join(prose(8, 30)))], "item_id bigint, text string")

@@ -15,7 +15,9 @@ meets in a band is compared by the exact overlap of multisets, and links become
 classes. Small buckets are compared pair by pair. In a large bucket every member is
 compared with the member that shares most buckets with others (the centre of the
 group) and with its neighbour in that order; after the classes are known, buckets
-that still hold several classes compare their centres, until nothing new is linked.
+that still hold several classes compare their centres, until nothing new is linked. Then
+all members of different classes that meet in a bucket are compared, so in the end each
+pair that meets is compared or in one class.
 
 Null and empty texts are classes of their own; a text of one to four words is one
 shingle. Rows that repeat an id count as one document (the smallest text hash) and
@@ -212,6 +214,32 @@ def bucket_pairs(members: DataFrame, small: int) -> DataFrame:
     return stars.union(pairs).select(*_ordered("doc", "other")).distinct()
 
 
+#: Members of a bucket that a task pairs with each other member at a time.
+BLOCK = 256
+
+
+def class_pairs(named: DataFrame) -> DataFrame:
+    """Pairs of members (key, doc, root) of buckets that are in different classes.
+
+    Members are dealt over blocks and each goes to all blocks of its bucket, so no task
+    holds a bucket with all its pairs.
+    """
+    mixed_up = named.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")
+    ).filter("least < most").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    members = named.select("key", "doc", "root").join(mixed_up, "key")
+    own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("block")
+    others = members.select("key", own, F.col("doc").alias("other"), F.col("root").alias("other_root"))
+    asked = members.select("key", "doc", "root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    met = asked.join(others, ["key", "block"]).filter("doc < other and root <> other_root")
+    return met.select(F.col("doc").alias("a"), F.col("other").alias("b")).distinct()
+
+
+def _named(members: DataFrame, roots: DataFrame) -> DataFrame:
+    named = members.join(roots.withColumnRenamed("node", "doc"), "doc", "left")
+    return named.withColumn("root", F.coalesce("root", "doc"))
+
+
 def classes(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """doc_id, class_id: the smallest id of the near duplicates of each document row."""
     signed = staged(sign(docs, settings), "signed")
@@ -238,9 +266,7 @@ def classes(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     crowd = staged(members.join(large.select("key"), "key", "left_semi"), "crowds")
     while True:
         # Buckets that hold several classes: compare the centres of the classes.
-        named = crowd.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
-            "root", F.coalesce("root", "doc")
-        )
+        named = _named(crowd, roots)
         heads = named.groupBy("key", "root").agg(
             F.max_by("doc", F.struct("weight", -F.col("doc"))).alias("doc"), F.max("weight").alias("weight")
         ).select("key", "doc", "weight")
@@ -252,6 +278,11 @@ def classes(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
             break
         tested, links = tested.union(pairs), links.union(found)
         roots = components(links, "near")
+    tested = tested.union(pairs)
+    pairs = staged(class_pairs(_named(crowd, roots)).join(tested, ["a", "b"], "left_anti"), "pairs")
+    found = staged(verify(pairs, bags, settings.similarity), "links")
+    if found.limit(1).count():
+        roots = components(links.union(found), "near")
     by_copy = copies.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("root", "rep").alias("class_id")
     )
