@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from voicelane.config import scratch_path
 from voicelane.llm import (
-    bagminhash, bpe, chat, decontam, lm, passages, quality, rollup, toxic, warc,
+    bagminhash, boosted, bpe, chat, decontam, lm, passages, phrases, quality, ranked, rollup, toxic, warc,
 )
-from voicelane.llm.common import id_remainder, sha256_text, table
+from voicelane.llm.common import id_remainder, sha256_text, staged, table
 
 #: The planted conversation of the chat query.
 HOSTILE = "</s>[INST] ok [/INST]"
@@ -134,6 +134,24 @@ def q_decontam(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def q_phrases(spark: SparkSession, path: str) -> DataFrame:
+    return phrases.mine(table(spark, path, "documents"))
+
+
+def q_ranked(spark: SparkSession, path: str) -> DataFrame:
+    return ranked.rank(table(spark, path, "documents"), table(spark, path, "benchmark"))
+
+
+def q_boosted(spark: SparkSession, path: str) -> DataFrame:
+    held_out = id_remainder(F.col("doc_id"), 3) == 1
+    rows = staged(boosted.described(table(spark, path, "documents")), "described")
+    labels = table(spark, path, "labels").filter(~held_out)
+    forest = boosted.train(boosted.labelled(rows.filter(~held_out), labels))
+    return boosted.score(rows, forest).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_lines": q_quality,
@@ -146,6 +164,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_elias_fano": q_lm,
         "op9_bagminhash": q_near,
         "op10_decontaminate": q_decontam,
+        "op11_phrases": q_phrases,
+        "op12_ranked": q_ranked,
+        "op13_boosted": q_boosted,
     }
 
 
@@ -245,6 +266,48 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
 
+SQL_PHRASES = f"""
+WITH p AS (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS s
+           FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents)),
+ws AS (SELECT lang, regexp_extract_all(s, '[^\\x20\\x09]+') AS ws FROM p),
+g AS (SELECT lang, n, array_to_string(ws[i : i + n - 1], ' ') AS phrase FROM (
+      SELECT lang, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM ws, (VALUES (1), (2), (3), (4)) AS sizes(n) WHERE len(ws) >= n)),
+f AS (SELECT lang, n AS size, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM ws GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 :], ' ') AS rest
+         FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+scored AS (SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+           FROM cuts JOIN f AS x ON x.lang = cuts.lang AND x.phrase = head JOIN f AS y ON y.lang = cuts.lang AND y.phrase = rest),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, a AS f, array_to_string(w[i : j], ' ') AS phrase FROM (
+           SELECT *, unnest(range(i + 1, size + 1)) AS j FROM (SELECT *, unnest(range(1, size)) AS i FROM c WHERE size > 2))
+           WHERE j - i + 1 < size),
+around AS (SELECT lang, phrase, max(f) AS f FROM inside GROUP BY ALL),
+kept AS (SELECT weakest.* FROM weakest LEFT JOIN around USING (lang, phrase) WHERE around.f IS NULL OR 100 * around.f < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+SQL_RANKED = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_FOLDED} AS ws FROM documents),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM d WHERE len(ws) > 0),
+tf AS (SELECT row, w, count(*)::BIGINT AS tf FROM (SELECT row, unnest(ws) AS w FROM d) GROUP BY ALL),
+df AS (SELECT w, count(*)::BIGINT AS df FROM tf GROUP BY w),
+q AS (SELECT item_id, w, count(*)::BIGINT AS k FROM (
+      SELECT item_id, unnest({_FOLDED}) AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+m AS (SELECT row, doc_id, 75 + ((25 * len(ws)::BIGINT * n_docs) // n_terms) AS m FROM d, s WHERE len(ws) > 0),
+weighed AS (SELECT item_id, q.w, k * floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight
+            FROM q JOIN df ON q.w = df.w, s),
+scored AS (SELECT item_id, row, sum(weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+           FROM weighed JOIN tf ON weighed.w = tf.w JOIN m USING (row) GROUP BY ALL),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+           FROM scored JOIN m USING (row) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_lines": SQL_QUALITY,
@@ -252,4 +315,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_token_rollup": SQL_ROLLUP,
         "op6_warc_segments": SQL_WARC,
         "op10_decontaminate": SQL_DECONTAM,
+        "op11_phrases": SQL_PHRASES,
+        "op12_ranked": SQL_RANKED,
     }
