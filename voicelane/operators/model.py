@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +18,9 @@ from voicelane.functions.fence import computed_once
 from voicelane.functions.numbers import round_exact
 from voicelane.functions.text import rules_fingerprint
 from voicelane.operators import features as ft
+from voicelane.operators import solver
 
 # --- fixed values -----------------------------------------------------------
-MAX_ITERATIONS = 1000
-TOLERANCE = 1e-4
 PROBE_TEXTS = (
     "this movie was bad", "this movie was vad", "the film was worst",
     "the film was borst", "absolutely terrible acting", "absolutely terrable acting",
@@ -158,20 +156,18 @@ def write_vectors(train: DataFrame, space: ft.FeatureSpace) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def fit_linear(vectors: DataFrame, space: ft.FeatureSpace, C: float = 1.0) -> ReviewModel:
-    """L2 logistic regression; ``C`` weighs the summed loss against the penalty."""
+def penalty(C: float, n: int) -> float:
+    """Weight of the penalty against the mean loss of n rows; ``C`` weighs the summed loss."""
+    return 1.0 / (C * n)
+
+
+def fit_linear(vectors: DataFrame, space: ft.FeatureSpace, *Cs: float) -> list[ReviewModel]:
+    """L2 logistic regression, one model per ``C``; all share every pass over the rows."""
     n = vectors.count()
     if n == 0:
         raise ValueError("no training rows")
-    solver = LogisticRegression(
-        regParam=1.0 / (C * n),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=MAX_ITERATIONS,
-        tol=TOLERANCE,
-    )
-    fitted = solver.fit(vectors)
-    return ReviewModel(space, fitted.coefficients.toArray(), float(fitted.intercept))
+    found = solver.solve(solver.as_rows(vectors), space.size, [penalty(C, n) for C in Cs])
+    return [ReviewModel(space, s.coef, s.intercept) for s in found]
 
 
 def fit(train: DataFrame, C: float = 1.0, **space_options) -> ReviewModel:
@@ -179,7 +175,56 @@ def fit(train: DataFrame, C: float = 1.0, **space_options) -> ReviewModel:
     if "_norm" not in train.columns:
         train = prepared(train)
     space = fit_space(train, **space_options)
-    return fit_linear(write_vectors(train, space), space, C)
+    return fit_linear(write_vectors(train, space), space, C)[0]
+
+
+def optimality(train: DataFrame, models: list[tuple[ReviewModel, float]]) -> DataFrame:
+    """How far fitted models are from the optimum, by the rows they were fitted to.
+
+    ``models`` are pairs of model and C over one feature space. Per model (``no``) and
+    block, the intercept as block ``bias``: the number of coefficients and the largest
+    absolute derivative of mean loss plus penalty, from stored coefficients and the scores
+    that the models give the training texts. At the optimum all derivatives are 0. Texts
+    are read once for all models; the sums combine before the shuffle.
+    """
+    space, n = models[0][0].space, train.count()
+    if any(m.space is not space for m, _ in models):
+        raise ValueError("the models need a common feature space")
+    read = space.with_inputs(train)
+    for k, (model, _) in enumerate(models):
+        read = read.withColumn(f"_margin{k}", space.margin(model.coef))
+    for part in space.parts:
+        read = read.withColumn(f"_{part.name}_weights", space.weights(part))
+    # P(negative) minus the label's share of it, with the sign of the loss of label 1.
+    gaps = F.array(*[
+        (1.0 - m.probability(F.col(f"_margin{k}"))) - F.col("label") for k, (m, _) in enumerate(models)
+    ])
+    bias = F.array(F.struct(F.lit(-1).alias("feature_id"), F.lit(1.0).alias("weight")))
+    entries = F.concat(bias, *[F.col(f"_{p.name}_weights") for p in space.parts])
+    sums = (
+        computed_once(read.select(gaps.alias("gaps"), entries.alias("entries")), "gap", F.col("gaps"))
+        .select("gap", F.inline("entries"))
+        .groupBy("feature_id")
+        .agg(*[F.sum(F.col("gap")[k] * F.col("weight")).alias(f"s{k}") for k in range(len(models))])
+    )
+    coefs = pd.DataFrame({"feature_id": np.arange(-1, space.size, dtype="int64"), "block": "bias"})
+    for part in space.parts:
+        coefs.loc[part.feature_ids + 1, "block"] = part.name
+    for k, (model, _) in enumerate(models):
+        coefs[f"w{k}"] = np.concatenate([[0.0], model.coef])  # the intercept has no penalty
+    known = train.sparkSession.createDataFrame(coefs)  # bounded by max_features
+    derivatives = F.array(*[
+        F.struct(
+            F.lit(k).alias("no"),
+            F.abs(F.coalesce(F.col(f"s{k}"), F.lit(0.0)) / n + penalty(C, n) * F.col(f"w{k}")).alias("d"),
+        )
+        for k, (_, C) in enumerate(models)
+    ])
+    return (
+        known.join(sums, "feature_id", "left").select("block", F.inline(derivatives))
+        .groupBy("no", "block")
+        .agg(F.count(F.lit(1)).alias("n_coefficients"), F.max("d").alias("largest"))
+    )
 
 
 def export_model(features: DataFrame, intercept: float) -> DataFrame:

@@ -529,6 +529,34 @@ def q_fit_model_checks(spark, path):
     )
 
 
+#: Largest derivative of mean loss plus penalty that a fitted model may have.
+OPTIMAL = 1e-6
+
+
+def _optimal(df: DataFrame, *keys: str) -> DataFrame:
+    return df.select(*keys, "block", "n_coefficients", (F.col("largest") <= OPTIMAL).alias("optimal"))
+
+
+def q_fit_optimality(spark, path):
+    """Per block of a fitted model: coefficients, and whether all are at the optimum."""
+    ready = mo.prepared(_halves(spark, path)[0])
+    return _optimal(mo.optimality(ready, [(mo.fit(ready), 1.0)]))
+
+
+def q_config_sweep_optimality(spark, path):
+    """The same for every configuration of the sweep."""
+    ready = mo.prepared(_halves(spark, path)[0])
+    models = studies.fit_configs(ready, studies.CONFIGS)
+    return _optimal(studies.optimality(ready, studies.CONFIGS, models), "config_no", "name")
+
+
+def q_robustness_optimality(spark, path):
+    """The same for both models of the robustness report."""
+    ready = mo.prepared(_halves(spark, path)[0])
+    models = studies.fit_configs(ready, studies.FEATURE_SETS)
+    return _optimal(studies.optimality(ready, studies.FEATURE_SETS, models), "name")
+
+
 def q_config_sweep_checks(spark, path):
     """The parts of the sweep that don't depend on the solver."""
     return q_config_sweep(spark, path).select(

@@ -386,6 +386,9 @@ def added_oracles(known: dict[str, str]) -> dict[str, str]:
         f"WITH {SEEDED}, {RULES}, {TRIAGED} SELECT review_id, p_negative, urgency, route FROM triaged"
     )
     sweep_sizes = ("least(3000, uni)", "uni", "word", "word", "word", "word + chars")
+    words_only = "'bias', 'word'"
+    block_sizes = [(words_only, f"1, {size}") for size in sweep_sizes[:5]]
+    block_sizes.append(("'bias', 'word', 'char'", "1, word, chars"))
     per_review = "count(*) AS n_terms, round(sum(weight), 5) AS total, sum(joint_id)::BIGINT AS id_sum"
     return {
         "exported_model": known["model_export"],
@@ -420,6 +423,26 @@ def added_oracles(known: dict[str, str]) -> dict[str, str]:
             "neg AS test_negative, other AS test_other, word AS word_features, "
             "chars AS char_features, true AS intercept_settled FROM n"
         ),
+        "fit_optimality": (
+            f"WITH {TRAIN_VOCABULARY} SELECT unnest(['bias', 'word', 'char']) AS block, "
+            "unnest([1, word, chars]) AS n_coefficients, true AS optimal FROM n"
+        ),
+        "config_sweep_optimality": (
+            f"WITH {TRAIN_VOCABULARY} "
+            + " UNION ALL ".join(
+                f"SELECT {no} AS config_no, {quote(cfg.name)} AS name, unnest([{blocks}]) AS block, "
+                f"unnest([{sizes}]) AS n_coefficients, true AS optimal FROM n"
+                for no, (cfg, (blocks, sizes)) in enumerate(zip(studies.CONFIGS, block_sizes, strict=True))
+            )
+        ),
+        "robustness_optimality": (
+            f"WITH {TRAIN_VOCABULARY} "
+            + " UNION ALL ".join(
+                f"SELECT {quote(cfg.name)} AS name, unnest([{blocks}]) AS block, "
+                f"unnest([{sizes}]) AS n_coefficients, true AS optimal FROM n"
+                for cfg, (blocks, sizes) in zip(studies.FEATURE_SETS, (block_sizes[2], block_sizes[5]), strict=True)
+            )
+        ),
         "config_sweep_checks": (
             f"WITH {TRAIN_VOCABULARY} "
             + " UNION ALL ".join(
