@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 
 from voicelane.llm.common import slices, small_batches
 
-#: Words whose ids a task remembers; emptied beyond it.
-CACHE_WORDS = 200_000
+#: Pieces that a worker remembers in each of two generations.
+CACHE_PIECES = 200_000
+#: Texts encoded at a time: the more, the more prefixes their new pieces share.
+TEXTS_AT_ONCE = 1_000
 #: Pairs of tokens whose answer a task remembers.
 CACHE_PAIRS = 500_000
 NEVER = 1 << 60
@@ -41,9 +44,8 @@ SHORT = tuple(range(TAIL - 1, 0, -1))
 _PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 )
-_WORDS = regex.compile(r"\P{White_Space}+")
-#: str.split also splits at these, which are not white space in the tokenizer's sense.
-_SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: The same in ASCII text in lower case.
+_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
 
 
 def byte_of_char() -> dict[str, int]:
@@ -140,6 +142,10 @@ class Vocabulary:
         found, last, start, before = {}, [0], [0], b""
         beside = self.beside
         for piece in sorted(pieces):
+            whole = self.final.get(piece)
+            if whole is not None:
+                found[piece] = [whole]
+                continue
             size = len(piece)
             shared, most = 0, min(len(before), size) - 1
             while shared < most and before[shared] == piece[shared]:
@@ -195,52 +201,99 @@ def normalised(word: str) -> str:
     return unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
 
 
-def split_words(text: str) -> list[str]:
-    """Runs without white space; pieces and special tokens never cross white space."""
-    if any(c in text for c in _SEPARATORS):
-        return _WORDS.findall(text)
-    return text.split()
+def pieces_of(text: str) -> list[str]:
+    """The pieces of a text without special tokens; none crosses white space."""
+    if text.isascii():
+        return _ASCII_PIECES.findall(text.lower())
+    return _PIECES.findall(normalised(text))
+
+
+class Memory:
+    """Remembers what was asked for lately.
+
+    When the young generation is full it becomes the old one, whose entries live on if
+    they are asked for again; so frequent words stay and rare ones go.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def missing(self, keys: Iterable) -> list:
+        """Keys that are not known; known ones become young."""
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+        young, old, unknown = self.young, self.old, []
+        for key in keys:
+            if key not in young:
+                value = old.get(key)
+                if value is None:
+                    unknown.append(key)
+                else:
+                    young[key] = value
+        return unknown
+
+
+class Numbers(dict):
+    """Pieces numbered as they come."""
+
+    def __missing__(self, piece: str | int) -> int:
+        number = self[piece] = len(self)
+        return number
 
 
 class Encoder:
-    """Encodes texts; distinct words are encoded once."""
+    """Encodes texts; distinct pieces are encoded once."""
 
     def __init__(self, definition: str):
         self.vocab = Vocabulary(definition)
-        self.known: dict[str, list[int]] = {}
-
-    def learn(self, words: Iterable[str]) -> None:
-        """Encode words not known yet."""
-        special, marks = self.vocab.special, {c[0] for c in self.vocab.special}
-        new, pieces = {}, set()
-        for word in words:
-            if word.isascii() and word.isalpha():
-                new[word] = own = word.lower().encode()
-                pieces.add(own)
-                continue
-            parts: list = []
-            split = any(c in word for c in marks)
-            for k, part in enumerate(self.vocab.split_special.split(word) if split else (word,)):
-                if k % 2:
-                    parts.append(special[part])
-                elif part:
-                    parts += [p.encode("utf-8", "surrogatepass") for p in _PIECES.findall(normalised(part))]
-            pieces.update(p for p in parts if isinstance(p, bytes))
-            new[word] = parts
-        ids = self.vocab.encode_pieces(pieces)
-        for word, parts in new.items():
-            if isinstance(parts, bytes):
-                self.known[word] = ids[parts]
+        #: Ids and decoded text of pieces; a special token is named by its id.
+        self.known = Memory(CACHE_PIECES)
+        self.marks = {c[0] for c in self.vocab.special}
+
+    def split(self, text: str | None) -> list[str | int]:
+        """The pieces of a text, and the ids of special tokens between them."""
+        if not text:
+            return []
+        if not any(c in text for c in self.marks):
+            return pieces_of(text)
+        parts: list[str | int] = []
+        for k, part in enumerate(self.vocab.split_special.split(text)):
+            if k % 2:
+                parts.append(self.vocab.special[part])
             else:
-                self.known[word] = [k for p in parts for k in ([p] if isinstance(p, int) else ids[p])]
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        split = [split_words(t or "") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        self.learn(set().union(*split) - self.known.keys())
-        look = self.known.__getitem__
-        return [list(chain.from_iterable(map(look, words))) for words in split]
+                parts += pieces_of(part)
+        return parts
+
+    def learn(self, pieces: Iterable[str | int]) -> None:
+        """Encode pieces not known yet."""
+        new = self.known.missing(pieces)
+        spelt = {p: p.encode("utf-8", "surrogatepass") for p in new if isinstance(p, str)}
+        ids = self.vocab.encode_pieces(spelt.values())
+        for piece in new:
+            own = ids[spelt[piece]] if piece in spelt else [piece]
+            self.known.young[piece] = own, self.decode(own)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Offsets and ids of all texts, and the texts decoded from the ids.
+
+        Pieces are numbered first; ids are gathered by number for the whole slice, and
+        what a piece decodes to is joined as it is.
+        """
+        split = list(map(self.split, texts))
+        numbers = Numbers()
+        codes = np.fromiter(map(numbers.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        self.learn(numbers)
+        entries = [self.known.young[p] for p in numbers]
+        sizes = np.fromiter((len(ids) for ids, _ in entries), np.int64, len(entries))
+        pool = np.fromiter(chain.from_iterable(ids for ids, _ in entries), np.int32, sizes.sum())
+        starts = np.cumsum(sizes) - sizes
+        spread = sizes[codes]
+        ends = np.cumsum(spread)
+        ids = pool[np.repeat(starts[codes] - (ends - spread), spread) + np.arange(spread.sum())]
+        offsets = np.concatenate(([0], ends))[np.cumsum([0, *map(len, split)])]
+        shown = dict(zip(numbers, (text for _, text in entries), strict=True))
+        decoded = [" ".join(filter(None, map(shown.__getitem__, pieces))) for pieces in split]
+        return offsets, ids, decoded
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by blanks, as the file names no decoder; unknown ids are left out."""
@@ -255,19 +308,16 @@ def _encoder(definition: str) -> Encoder:
 
 def _encode_batches(shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     encoder = _encoder(shared.value)
-    for part in slices(batches):
-        ids = encoder.encode(part.column("text").to_pylist())
-        offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-        values = np.fromiter(chain.from_iterable(ids), np.int32, offsets[-1])
+    for part in slices(batches, TEXTS_AT_ONCE):
+        offsets, ids, decoded = encoder.encode(part.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("doc_id"),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                pa.array(map(encoder.decode, ids), pa.string()),
+                pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)),
+                pa.array(decoded, pa.string()),
             ],
             ["doc_id", "ids", "decoded"],
         )
-    encoder.known = {}  # the worker may go on to other work
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
