@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -19,6 +19,7 @@ from voicelane.functions.numbers import round_exact
 from voicelane.functions.text import rules_fingerprint
 from voicelane.operators import features as ft
 from voicelane.operators import solver
+from voicelane.sources import commits as cm
 
 # --- fixed values -----------------------------------------------------------
 PROBE_TEXTS = (
@@ -82,22 +83,27 @@ class ReviewModel:
         return cls(space, coef, intercept)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Feature table plus a one-row parameter table naming the text rules."""
-        self.features_frame(spark).write.mode("overwrite").parquet(f"{path}/features")
+        """Store the feature table with the intercept and the rules it was fitted under.
+
+        Every save is a version in a folder of its own, which becomes the current one by
+        a single commit at the end: readers see the old version or the new one.
+        """
+        version = uuid.uuid4().hex
+        self.features_frame(spark).write.parquet(f"{path}/versions/{version}")
         spans = {f"{part.name}_range": part.span for part in self.space.parts}
-        meta = {"intercept": float(self.intercept), "spans": spans}
-        meta["text_rules"] = rules_fingerprint()
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
-            "overwrite"
-        ).text(f"{path}/meta")
+        meta = {"intercept": float(self.intercept), "spans": spans, "version": version}
+        cm.commit(spark, f"{path}/commits", version, meta | {"text_rules": rules_fingerprint()})
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ReviewModel:
-        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+        """The version committed last."""
+        meta = cm.latest(spark, f"{path}/commits")
+        if meta is None:
+            raise ValueError(f"no model was saved in {path}")
         if meta["text_rules"] != rules_fingerprint():
             raise ValueError("the model was fitted under other text rules; fit it again")
         return cls.from_features(
-            spark.read.parquet(f"{path}/features"),
+            spark.read.parquet(f"{path}/versions/{meta['version']}"),
             meta["intercept"],
             **{name: tuple(span) for name, span in meta["spans"].items()},
         )

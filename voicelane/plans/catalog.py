@@ -7,6 +7,7 @@ the same queries as SQL.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import numpy as np
@@ -284,6 +285,32 @@ def q_fanned_out(spark, path):
     return spark.read.schema(schema).json(list(sinks.values())).select(*_WRITTEN)
 
 
+def q_delivered_lanes(spark, path):
+    """Deliveries of which some die between two sinks, run again and read back.
+
+    The reviews go out in two deliveries. The first one dies after its first sink and is
+    run again, then once more after it was committed; a third one is never finished.
+    """
+    target = scratch_path(spark, "deliveries")
+    sinks = {lane: f"{target}/{lane}" for lane in ro.ROUTES}
+    commits = f"{target}/commits"
+    reviews = triaged(spark, path)
+    even = F.col("review_id") % 2 == 0
+
+    def die_after_one(rows: DataFrame, key: str) -> None:
+        lane = rows.filter(F.col("route") == ro.ROUTES[0])
+        rv.response(lane).write.mode("overwrite").json(f"{sinks[ro.ROUTES[0]]}/delivery={key}")
+
+    die_after_one(reviews.filter(even), "even")
+    rv.fan_out(reviews.filter(even), sinks, commits=commits, key="even")
+    rv.fan_out(reviews.filter(even), sinks, commits=commits, key="even")
+    rv.fan_out(reviews.filter(~even), sinks, commits=commits, key="odd")
+    die_after_one(reviews, "unfinished")
+    schema = "review_id bigint, p_negative double, urgency double, route string"
+    lanes = [rv.lane(spark, folder, commits, schema) for folder in sinks.values()]
+    return functools.reduce(DataFrame.unionByName, lanes).select(*_WRITTEN)
+
+
 def q_logged_runs(spark, path):
     """One logged run per language of the reviews, read back from the log."""
     target = scratch_path(spark, "runs")
@@ -295,8 +322,11 @@ def q_logged_runs(spark, path):
     )
     for row in rates.collect():  # one row per language
         metrics = {m: row[m] for m in runs.COMPARED_METRICS}
-        runs.log_run(spark, target, row["lang"], row["lang"], {"threshold": 0.4}, metrics)
-    return spark.read.schema(runs.RUN_SCHEMA).parquet(target).select(
+        for _ in range(2):  # a retried call logs nothing twice
+            runs.log_run(
+                spark, target, row["lang"], row["lang"], {"threshold": 0.4}, metrics, key=f"lang {row['lang']}"
+            )
+    return runs.read_runs(spark, target).select(
         "experiment", "name", F.col("params")["threshold"].alias("threshold"),
         *[F.round(F.col("metrics")[m], 6).alias(m) for m in runs.COMPARED_METRICS],
     )
@@ -689,11 +719,20 @@ def q_stream_scores(spark, path):
     base = scratch_path(spark, "stream")
     sinks = {name: f"{base}/{name}" for name in (*ro.ROUTES, triage.REJECTS)}
 
-    def scorer(batch: DataFrame) -> DataFrame:
-        return scoring.score_given(batch, unlabelled_score(F.col("review_id")))
-
-    query = triage.start_routing(with_sentence(source), scorer, sinks, f"{base}/checkpoint")
+    query = triage.start_routing(
+        with_sentence(source), _row_local_scorer, sinks, f"{base}/checkpoint", partitions=_stream_partitions(spark)
+    )
     query.awaitTermination()
+    return _routed(spark, sinks)
+
+
+def _stream_partitions(spark) -> int | None:
+    wanted = spark.conf.get(rv.INPUT_PARTITIONS, None)
+    return int(wanted) if wanted else None
+
+
+def _routed(spark, sinks) -> DataFrame:
+    """review_id, p_negative, urgency, and the route or the reason of rejection."""
     columns = "review_id bigint, p_negative double, urgency double, route string"
     out = [spark.read.schema(columns).parquet(sinks[r]) for r in ro.ROUTES]
     rejected = (
@@ -709,6 +748,48 @@ def q_stream_scores(spark, path):
     return result.unionByName(rejected)
 
 
+def _arriving(spark, path, base, start) -> None:
+    """Run a stream over reviews that arrive in two halves, with one batch replayed.
+
+    ``start`` starts a query over a source, with one file in each micro-batch. After the
+    first half the last batch loses its commit, as if the driver had died before it.
+    """
+    source = f"{base}/in"
+    reviews = seeded(spark, path).withColumn("part", F.pmod(F.xxhash64("review_id"), F.lit(4)))
+    for half in (0, 1):
+        own = reviews.filter(F.col("part").between(2 * half, 2 * half + 1))
+        own.repartition(2, "part").select("review_id", "text").write.mode("append").parquet(source)
+        stream = rv.read_reviews(spark, source, "parquet", streaming=True, files_per_trigger=1)
+        start(stream).awaitTermination()
+        if half == 0:
+            triage.forget_last_commit(spark, f"{base}/checkpoint")
+
+
+def _row_local_scorer(batch: DataFrame) -> DataFrame:
+    return scoring.score_given(batch, unlabelled_score(F.col("review_id")))
+
+
+def q_stream_scoring_restart(spark, path):
+    """Reviews scored by a stream that is stopped, replays a batch and goes on."""
+    base = scratch_path(spark, "stream")
+    start = lambda stream: triage.start_scoring(
+        stream, _row_local_scorer, f"{base}/out", f"{base}/checkpoint", partitions=_stream_partitions(spark)
+    )
+    _arriving(spark, path, base, start)
+    return spark.read.parquet(f"{base}/out").select(*_WRITTEN)
+
+
+def q_stream_routing_restart(spark, path):
+    """Reviews routed by a stream that is stopped, replays a batch and goes on."""
+    base = scratch_path(spark, "stream")
+    sinks = {name: f"{base}/{name}" for name in (*ro.ROUTES, triage.REJECTS)}
+    start = lambda stream: triage.start_routing(
+        stream, _row_local_scorer, sinks, f"{base}/checkpoint", partitions=_stream_partitions(spark)
+    )
+    _arriving(spark, path, base, start)
+    return _routed(spark, sinks)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name[2:]: fn for name, fn in globals().items()

@@ -395,6 +395,11 @@ def added_oracles(known: dict[str, str]) -> dict[str, str]:
         "saved_model": known["score_linear"],
         "written_scores": written,
         "fanned_out": written,
+        "delivered_lanes": written,
+        "stream_routing_restart": known["stream_scores"],
+        "stream_scoring_restart": (
+            f"SELECT * FROM ({known['stream_scores']}) WHERE p_negative IS NOT NULL"
+        ),
         "incoming_reviews": (
             f"WITH {DOCS} SELECT review_id, text, NULL::VARCHAR AS raw, {REASON} AS status FROM docs "
             "WHERE review_id % 50 <> 7 UNION ALL SELECT NULL, NULL, 'no json: ' || review_id, "

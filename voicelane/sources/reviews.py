@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from voicelane.functions import text as tx
 from voicelane.functions.numbers import digits_to_int, hash_digits
+from voicelane.sources import commits as cm
 
 # --- fixed values -----------------------------------------------------------
 MAX_CHARS = 20_000
@@ -105,20 +106,36 @@ def response(scored: DataFrame) -> DataFrame:
     )
 
 
-def fan_out(scored: DataFrame, sinks: dict[str, str], mode: str = "append") -> None:
+def fan_out(
+    scored: DataFrame, sinks: dict[str, str], mode: str = "append",
+    commits: str | None = None, key: str | None = None,
+) -> None:
     """Write each route's reviews to its own destination.
 
     The scores are stored once while they are written out; every sink then only
     filters the stored rows. A route without a sink is refused before anything is
-    written.
+    written. With ``commits`` (a folder) and ``key`` the delivery is all or nothing:
+    ``lane`` shows it only once every sink has it, and running it again under its key
+    adds nothing twice.
     """
+    if (commits is None) != (key is None):
+        raise ValueError("commits and key go together")
     kept = response(scored).persist()
     try:
         known = F.coalesce(F.col("route").isin(*sinks), F.lit(False))
         lost = [r["route"] for r in kept.filter(~known).select("route").distinct().limit(10).collect()]
         if lost:
             raise ValueError(f"no sink for {lost}")
-        for route, path in sinks.items():
-            kept.filter(F.col("route") == route).write.mode(mode).json(path)
+        lanes = {path: kept.filter(F.col("route") == route) for route, path in sinks.items()}
+        if key is not None:
+            cm.deliver(lanes, commits, key, "json")
+            return
+        for path, rows in lanes.items():
+            rows.write.mode(mode).json(path)
     finally:
         kept.unpersist()
+
+
+def lane(spark: SparkSession, path: str, commits: str, schema: str) -> DataFrame:
+    """Reviews of one sink from all finished deliveries of ``fan_out``."""
+    return cm.delivered(spark, path, commits, schema, "json")
