@@ -16,10 +16,15 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voicelane.config import scratch_path
 from voicelane.functions import text as tx
 from voicelane.functions.edits import edit_budget, within_edits
 from voicelane.functions.fence import computed_once
 from voicelane.lexicon import DEFAULT_LEXICON, Lexicon
+from voicelane.operators.neighbours import near_terms
+
+#: Pairs of misspelt token and term that are sent to all tasks.
+BROADCAST_PAIRS = 1_000_000
 
 
 def sql_string(value: str) -> str:
@@ -227,11 +232,26 @@ def match_exact(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
 
 
 def match_fuzzy(df: DataFrame, lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
-    """Long table of misspellings: review_id, token, term."""
-    found = computed_once(prepare(df, lexicon), "found", F.col("typos"))
+    """Long table of misspellings: review_id, token, term.
+
+    Distinct tokens meet the terms by their deletions, so a lexicon may have a hundred
+    thousand terms; the few tokens found are then looked up in the reviews.
+    """
+    spark, rows = df.sparkSession, lexicon.fuzzy_terms()
+    terms = spark.createDataFrame(rows, "term string, budget int")
+    tokens = distinct_tokens(df, *_length_span(lexicon)) if rows else token_counts(df).limit(0)
+    if lexicon.guard:
+        tokens = tokens.filter(~F.col("token").isin(*lexicon.guard))
+    path = scratch_path(spark, "near-tokens")
+    near_terms(tokens.select("token"), terms).write.parquet(path)
+    found = spark.read.parquet(path)
+    if found.count() <= BROADCAST_PAIRS:  # else both sides are shuffled
+        found = F.broadcast(found)
+    listed = _tokens_between(df, *_length_span(lexicon)) if rows else F.array().cast("array<string>")
     return (
-        found.select("review_id", F.inline("found"))
-        .select("review_id", "token", F.explode("terms").alias("term"))
+        df.select("review_id", F.explode(F.array_distinct(listed)).alias("token"))
+        .join(found, "token")
+        .select("review_id", "token", "term")
     )
 
 
@@ -274,33 +294,47 @@ def negation_scope(
     )
 
 
-def token_counts(df: DataFrame, shortest: int = 1, longest: int | None = None) -> DataFrame:
-    """token, n over all reviews. Plain sums: hot words combine before the shuffle."""
-    kept = F.filter(
-        tx.tokens(tx.normalize(F.col("text"))),
+def _tokens_between(df: DataFrame, shortest: int = 1, longest: int | None = None) -> Column:
+    norm = F.col("_norm") if "_norm" in df.columns else tx.normalize(F.col("text"))
+    return F.filter(
+        tx.tokens(norm),
         lambda t: (F.length(t) >= shortest)
         & (F.length(t) <= longest if longest else F.lit(True)),
     )
+
+
+def token_counts(df: DataFrame, shortest: int = 1, longest: int | None = None) -> DataFrame:
+    """token, n over all reviews. Plain sums: hot words combine before the shuffle."""
     return (
-        df.select(F.explode(kept).alias("token"))
+        df.select(F.explode(_tokens_between(df, shortest, longest)).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+def distinct_tokens(df: DataFrame, shortest: int = 1, longest: int | None = None) -> DataFrame:
+    """The tokens of all reviews, each once."""
+    return token_counts(df, shortest, longest).select("token")
+
+
 def _near_pairs(counts: DataFrame, lexicon: Lexicon) -> DataFrame:
     """token, n, group, term for every token within budget of a term of the group."""
-    per_group = [
-        F.struct(
-            F.lit(g).alias("group"),
-            reachable_terms("token", fuzzy).alias("terms"),
-            F.col("token").isin(*terms).alias("member"),
-        )
-        for g, terms in lexicon.groups().items()
-        if (fuzzy := [(t, edit_budget(t)) for t in terms if edit_budget(t) > 0])
-    ]
-    return counts.select("token", "n", F.inline(F.array(*per_group))).select(
-        "token", "n", "group", "member", F.explode("terms").alias("term")
+    spark = counts.sparkSession
+    rows = [r for r in lexicon.term_rows() if r[3] > 0]
+    terms = spark.createDataFrame(rows, "group string, term string, ord int, budget int")
+    members = spark.createDataFrame(
+        [r[:2] for r in lexicon.term_rows()], "group string, token string"
+    ).distinct().withColumn("member", F.lit(True))
+    # The counts are read twice, by the join and for the figures of what it found.
+    path = scratch_path(spark, "token-counts")
+    counts.write.parquet(path)
+    counts = spark.read.parquet(path)
+    pairs = near_terms(counts.select("token"), terms.select("term", "budget").distinct())
+    return (
+        pairs.join(counts, "token")
+        .join(terms.select("group", "term").distinct(), "term")
+        .join(members, ["group", "token"], "left")
+        .select("token", "n", "group", F.coalesce("member", F.lit(False)).alias("member"), "term")
     )
 
 
