@@ -106,6 +106,24 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(0))
 
 
+def sealed(docs: DataFrame, *own: str) -> DataFrame:
+    """The columns ``own``, as far as they are there, and all others inside ``_rest``.
+
+    Whatever extra columns are called, none meets a name that an operator gives.
+    """
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    return docs.select(
+        *[c for c in own if c in docs.columns], (F.struct(*rest) if rest else F.lit(True)).alias("_rest")
+    )
+
+
+def opened(rows: DataFrame, docs: DataFrame, *own: str) -> DataFrame:
+    """Rows that ``sealed`` made of ``docs``, with the columns of ``docs`` again."""
+    return rows.select(*[
+        F.col(c) if c in own else F.col("_rest").getField(c).alias(c) for c in docs.columns
+    ])
+
+
 def sha256_text(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
@@ -153,6 +171,20 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return marked.filter("not __maybe").union(some).drop("__maybe")
 
 
+def bitmap_of(slots: DataFrame, size: int) -> np.ndarray:
+    """A set of numbers below ``size`` (the one column of ``slots``) as bits, 8 to a byte."""
+    slot = slots[slots.columns[0]] + 1
+    rows = slots.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
+    ).collect()  # at most size / 32,768 rows of 4 KB
+    whole = np.zeros(size // 8, np.uint8)
+    for r in rows:
+        bits = np.frombuffer(r["bits"], np.uint8)
+        at = (r["bucket"] - 1) * 4096
+        whole[at : at + len(bits)] = bits
+    return whole
+
+
 def components(links: DataFrame, name: str) -> DataFrame:
     """node, root: the smallest node each node of undirected links (a, b) is linked with.
 

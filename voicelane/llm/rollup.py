@@ -25,6 +25,8 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voicelane.llm.common import staged
+
 KEYS = ("source", "lang", "tokenizer")
 DELTAS = "source string, lang string, tokenizer string, n_docs bigint, n_tokens bigint"
 ENTRIES = (
@@ -45,7 +47,11 @@ class Ledger:
             F.current_timestamp().alias("at"),
         )
         # A letter in front: Spark's readers pass over names that start with _ or a dot.
-        row.coalesce(1).write.mode("ignore").parquet(f"{self.path}/commits/b{quote(batch, safe='')}")
+        path = f"{self.path}/commits/b{quote(batch, safe='')}"
+        row.coalesce(1).write.mode("ignore").parquet(path)
+        if batch and all(b != batch for b, _ in self.commits()):
+            # A writer died in between and left a folder without a row.
+            row.coalesce(1).write.mode("overwrite").parquet(path)
 
     def commits(self) -> list[tuple[str, str]]:
         """Batch and attempt of every commit, oldest first (one row per batch)."""
@@ -112,7 +118,8 @@ class Ledger:
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("tokenizer").eqNullSafe(F.col("_version"))
         met = wanted.join(old, same, "left")
         upsert = F.col("new.action") != "delete"
-        met = met.filter(upsert | F.col("old").isNotNull())
+        # Entries and deltas are both made of this; the changes are computed once.
+        met = staged(met.filter(upsert | F.col("old").isNotNull()).select("doc_id", "tokenizer", "new", "old"), "changes")
         met.select(
             "doc_id", "tokenizer",
             F.coalesce(F.when(upsert, F.col("new.source")), F.when(~upsert, F.col("old.source"))).alias("source"),
