@@ -8,6 +8,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tests.test_queries import canon
@@ -99,6 +100,44 @@ def test_verdicts_are_per_text(spark):
     assert cut == sorted([("1", passage), ("2", ["a", *prose(61, 70)]), ("2", ["b", *prose(62, 70)]), ("None", good[0].split())])
 
 
+def test_lines_count_distinct_documents(spark):
+    # 40 rows of one document and one other share a line: two documents, no boilerplate.
+    long = [" ".join(prose(900 + k, 60)) for k in range(12)]
+    rows = [(1, long[0] + "\nshared line", "h")] * 40 + [(2, long[1] + "\nshared line", "h")]
+    # A line in six documents of a small host is one, a line in five is not.
+    rows += [(10 + k, long[2 + k] + "\nsix have it" + ("\nfive have it" if k < 5 else ""), "small") for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in quality.keep(df).collect()}
+    assert got[1] == rows[0][1] and got[2] == rows[40][1] and quality.keep(df).count() == len(rows)
+    assert got[10] == rows[41][1]
+    assert all(got[10 + k] == rows[41 + k][1].replace("\nsix have it", "") for k in range(1, 6))
+
+
+def test_clashing_names_keep_their_values(spark):
+    extra = ["__maybe", "__id", "__hash", "__own", "__hashes", "__cut", "__spans", "__doc_id", "_rest", "given_id",
+             "text_hash", "line", "rep", "digest", "bands", "items", "spans", "class_id", "n_words", "a", "b", "key"]
+    shared = " ".join(prose(70, 90))
+    texts = [shared, "x " + shared + " " + " ".join(prose(71, 80)), " ".join(prose(72, 90)), None, "", " ".join(prose(72, 90))]
+    rows = [(k if k != 3 else None, t, "h", len(t or ""), *[f"{c}{k}" for c in extra]) for k, t in enumerate(texts)]
+    names = ["doc_id bigint", "text string", "source string", "n_chars int", *[f"`{c}` string" for c in extra]]
+    df = spark.createDataFrame(rows, ", ".join(names))
+    bench = spark.createDataFrame([(1, " ".join(prose(72, 90)[:30]), "z")], "item_id bigint, text string, phrase string")
+    made = {
+        "keep": (quality.keep(df), [0, 1, 2, 5]), "dedupe": (bagminhash.dedupe(df), [0, 1, 2, 3, 4]),
+        "cut": (passages.cut(df), [0, 1, 2, 3, 4]), "clean": (decontam.clean(df, bench), [0, 1, 3, 4]),
+    }
+    for name, (out, want) in made.items():
+        assert out.columns == df.columns, name
+        got = sorted(out.collect(), key=lambda r: r["a"])
+        assert [r["a"] for r in got] == [f"a{k}" for k in want], name
+        for k, r in zip(want, got, strict=True):
+            assert [r[c] for c in extra] == [f"{c}{k}" for c in extra] and r["doc_id"] == rows[k][0], name
+            if (name, k) != ("cut", 1):
+                assert r["text"] == rows[k][1] and r["n_chars"] == rows[k][3], name
+    cut = [r for r in made["cut"][0].collect() if r["doc_id"] == 1][0]
+    assert shared not in cut["text"] and prose(71, 80)[5] in cut["text"] and cut["n_chars"] == len(cut["text"])
+
+
 def test_chat_round_trip(spark):
     rng = random.Random(3)
     bits = ["<s>", "</s>", "[INST]", "<\\s>", "<", "\\", "[/INST]", "<+>", "<t>", "é", " ", "<\\\\+>", "\n"]
@@ -121,7 +160,7 @@ def test_chat_round_trip(spark):
 
 
 def test_ledger(spark, tmp_path):
-    make = lambda rows: spark.createDataFrame(rows, "doc_id bigint, tokenizer string, action string, source string, lang string, n_tokens bigint")
+    make = lambda rows: spark.createDataFrame(rows or [(0, 'v', 'upsert', 's', 'en', 0)], "doc_id bigint, tokenizer string, action string, source string, lang string, n_tokens bigint")
     book = rollup.Ledger(spark, str(tmp_path / "l"))
     assert book.totals().count() == 0
     first = make([(1, "v", "upsert", "s", "en", 5), (1, "v", "upsert", "s", "en", 5), (2, "v", None, None, "en", None), (None, "v", "upsert", "s", "en", 1)])
@@ -129,6 +168,13 @@ def test_ledger(spark, tmp_path):
     assert book.apply("b", make([(1, "v", "upsert", "t", "en", 7), (9, "v", "delete", None, None, None), (None, "v", "delete", None, None, None)]))
     got = {tuple(r) for r in rollup.Ledger(spark, str(tmp_path / "l")).totals().select("source", "n_docs", "n_tokens").collect()}
     assert got == {("t", 1, 7), (None, 1, 0)} and book.adds_up()
+    # A driver that died while it wrote the commit of a batch.
+    (tmp_path / "l" / "commits" / "bc" / "_temporary").mkdir(parents=True)
+    late = make([(3, "v", "upsert", "s", "en", 4)]).selectExpr("*", "1 as new", "2 as old", "3 as live", "4 as _order")
+    assert book.apply("c", late) and not book.apply("c", late)
+    assert book.apply("empty", make([]).limit(0)) and book.adds_up()
+    got = {tuple(r) for r in book.totals().select("source", "n_docs", "n_tokens").collect()}
+    assert got == {("t", 1, 7), (None, 1, 0), ("s", 1, 4)}
 
 
 def brute_windows(values, width):
@@ -168,7 +214,7 @@ def test_passages_find_and_cut(spark, odd):
     assert len(cut) == len(rows) and cut[0]["text"] == text[0] and cut[99]["text"] == text[99]
     assert all(" ".join(shared) not in cut[k]["text"] and prose(100 + k, 120)[0] in cut[k]["text"] for k in range(1, 12))
     some, none = odd
-    assert passages.cut(some.drop("__maybe")).count() == len(ODD) and passages.cut(none.drop("__maybe")).count() == 0
+    assert passages.cut(some).count() == len(ODD) and passages.cut(none).count() == 0
 
 
 def edited_copies(groups, size, n_words, edits):
@@ -351,7 +397,7 @@ def test_bagminhash(spark, odd, texts):
     some, none = odd
     classes = [(r["doc_id"], r["class_id"]) for r in bagminhash.classes(some).collect()]
     assert len(classes) == len(ODD) and (6, 3) in classes and (2, 2) in classes and (None, None) in classes
-    assert bagminhash.dedupe(some.drop("__maybe")).count() == len(ODD) - 1 and bagminhash.classes(none).count() == 0
+    assert bagminhash.dedupe(some).count() == len(ODD) - 1 and bagminhash.classes(none).count() == 0
 
 
 def test_bagminhash_twins_in_a_template(spark):
@@ -366,6 +412,20 @@ def test_bagminhash_twins_in_a_template(spark):
     assert not lost and all(got[k] == k for k in range(400))
 
 
+def test_bagminhash_prefixes_lose_no_pair(spark):
+    rng = random.Random(11)
+    bags = {}
+    for k in range(240):
+        base = bags[rng.choice(list(bags))] if k % 3 and bags else np.array([rng.randrange(60) for _ in range(rng.randint(3, 50))], np.uint64)
+        some = [x for x in base.tolist() if rng.random() > 0.08] + [rng.randrange(60) for _ in range(rng.randint(0, 3))]
+        bags[k] = np.sort(np.array(some or [1], np.uint64))
+    df = spark.createDataFrame([(k, b.tobytes(), k) for k, b in bags.items()], "doc_id bigint, bag binary, root bigint")
+    near = bagminhash.prefixes(df, 0.8).join(df.select(F.col("doc_id").alias("doc"), "root"), "doc")
+    got = {(r["a"], r["b"]) for r in bagminhash.class_pairs(near, 0.8).collect()}
+    want = {(x, y) for x in bags for y in bags if x < y and bagminhash.overlap(bags[x], bags[y]) >= 0.8}
+    assert want <= got and len(got) < 240 * 239 / 4 and len(want) > 30
+
+
 def test_decontamination_blocks_and_spans(spark, odd):
     item = prose(7, 14)
     bench = spark.createDataFrame([(1, " ".join(item)), (2, "Short, one!"), (3, None), (4, " ..."), (5, " ".join(prose(8, 30)))], "item_id bigint, text string")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voicelane.llm.common import (
-    folded_words, record_batch, slices, small_batches, staged, without, word_spans,
+    folded_words, opened, record_batch, sealed, slices, small_batches, staged, without, word_spans,
 )
 
 WINDOW = 10
@@ -163,7 +163,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     has a verdict of its own.
     """
     own = F.xxhash64(F.col("doc_id").cast("bigint"), "text")
-    rows = docs.withColumns({"__doc_id": F.col("doc_id"), "doc_id": own})
+    rows = sealed(docs, "text", "doc_id").withColumns({"given_id": F.col("doc_id"), "doc_id": own})
     bad = find_contamination(rows, benchmark, window).filter("n_hit > 0").select("doc_id").distinct()
-    left = without(rows, staged(bad, "contaminated"))
-    return left.withColumn("doc_id", F.col("__doc_id")).select(*docs.columns)
+    left = without(rows, staged(bad, "contaminated")).withColumn("doc_id", F.col("given_id"))
+    return opened(left, docs, "text", "doc_id")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voicelane.llm.common import (
-    marked_rows, record_batch, slices, small_batches, staged, utf8, without,
+    marked_rows, opened, record_batch, sealed, slices, small_batches, staged, utf8, without,
 )
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -38,7 +38,7 @@ class Rules:
     min_words: int = 50
     max_repeat_percent: int = 50
     #: A line is boilerplate in more documents of its host than both limits.
-    line_docs: int = 100
+    line_docs: int = 5
     line_share: float = 0.01
     #: A document is depleted if less than this share of its words is left.
     min_left: float = 0.5
@@ -167,9 +167,12 @@ def _described(docs: DataFrame, host: str) -> DataFrame:
 def _boilerplate(described: DataFrame, rules: Rules) -> DataFrame:
     """doc_id, text_hash, line_hashes, line_words of lines to be taken out.
 
-    Counting is one shuffle of line hashes that combines on the map side. Only lines
-    above the limit are joined back, and each such line is dealt over 16 parts.
+    Counting is one shuffle of line hashes that combines on the map side. It counts rows,
+    of which there are at least as many as documents; only lines above the limit are
+    joined back, each dealt over 16 parts, and their documents counted one by one. Rows
+    that repeat an id are one document; rows without an id are told apart by their text.
     """
+    document = F.struct("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("text"))
     lines = described.select(
         "doc_id", "text_hash", "host",
         F.explode(F.arrays_zip("line_hashes", "line_words")).alias("line"),
@@ -179,17 +182,27 @@ def _boilerplate(described: DataFrame, rules: Rules) -> DataFrame:
         .agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.first("host").alias("host"))
         .filter(F.col("n") > rules.line_docs)
     )
-    sizes = described.groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("docs"))
-    common = counted.join(sizes, F.col("host").eqNullSafe(F.col("_host"))).filter(
-        F.col("n") > F.col("docs") * rules.line_share
+    sizes = (
+        described.select(F.col("host").alias("_host"), document.alias("document")).distinct()
+        .groupBy("_host").agg(F.count("*").alias("docs"))
     )
+    limit = F.col("docs") * rules.line_share
+    common = counted.join(sizes, F.col("host").eqNullSafe(F.col("_host"))).filter(F.col("n") > limit)
     common = common.select(
-        "line", "first", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("part")
+        "line", "first", "docs", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("part")
     )
     dealt = lines.withColumn("part", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(16)).cast("int"))
     met = dealt.join(common, (F.col("line_hashes") == F.col("line")) & (dealt["part"] == common["part"]))
-    return met.filter(~F.col("doc_id").eqNullSafe(F.col("first"))).select(
-        "doc_id", "text_hash", "line_hashes", "line_words"
+    met = staged(met.select("doc_id", "text_hash", "line_hashes", "line_words", "first", "docs"), "common-lines")
+    spread = (
+        met.select("line_hashes", "docs", document.alias("document")).distinct()
+        .groupBy("line_hashes").agg(F.count("*").alias("n"), F.first("docs").alias("docs"))
+        .filter((F.col("n") > rules.line_docs) & (F.col("n") > limit))
+    )
+    return (
+        met.filter(~F.col("doc_id").eqNullSafe(F.col("first")))
+        .join(spread.select("line_hashes"), "line_hashes", "left_semi")
+        .select("doc_id", "text_hash", "line_hashes", "line_words")
     )
 
 
@@ -234,6 +247,8 @@ def keep(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> DataF
     Rows are told apart by id and text, so each text of an id (or of none) has a verdict
     and lines of its own. ``n_chars``, if there, follows a changed text.
     """
+    own = ("doc_id", "text", host, "n_chars")
+    given, docs = docs, sealed(docs, *own)
     described = _described(docs, host)
     lines = staged(_boilerplate(described, rules), "boilerplate")
     named = {"doc_id": "__id", "text_hash": "__hash"}
@@ -253,4 +268,5 @@ def keep(docs: DataFrame, host: str = "source", rules: Rules = DEFAULT) -> DataF
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         met = met.withColumn("n_chars", F.when(F.col("__hashes").isNull(), F.col("n_chars")).otherwise(size))
-    return marked.filter("not __maybe").select(*docs.columns).union(met.select(*docs.columns))
+    left = marked.filter("not __maybe").select(*docs.columns).union(met.select(*docs.columns))
+    return opened(left, given, *own)

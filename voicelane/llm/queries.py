@@ -190,12 +190,12 @@ full_lines AS (
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY r),
 norm AS (SELECT r, doc_id, source, array_to_string(words, ' ') AS line, sum(len(words)) AS n_words
          FROM full_lines GROUP BY ALL),
-freq AS (SELECT source, line, count(*) AS n, min(doc_id) AS first FROM norm GROUP BY ALL),
-hosts AS (SELECT source, count(*) AS docs FROM d GROUP BY ALL),
+freq AS (SELECT source, line, count(DISTINCT doc_id) AS n, min(doc_id) AS first FROM norm GROUP BY ALL),
+hosts AS (SELECT source, count(DISTINCT doc_id) AS docs FROM d GROUP BY ALL),
 gone AS (SELECT norm.r, sum(n_words) AS n FROM norm
          JOIN freq ON norm.source IS NOT DISTINCT FROM freq.source AND norm.line = freq.line
          JOIN hosts ON hosts.source IS NOT DISTINCT FROM freq.source
-         WHERE freq.n > 100 AND freq.n > 0.01 * docs AND norm.doc_id IS DISTINCT FROM freq.first GROUP BY norm.r),
+         WHERE freq.n > 5 AND freq.n > 0.01 * docs AND norm.doc_id IS DISTINCT FROM freq.first GROUP BY norm.r),
 base AS (
     SELECT d.doc_id, len(ws)::BIGINT AS n_words,
            length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
@@ -250,7 +250,7 @@ SQL_DECONTAM = f"""
 WITH b AS (SELECT DISTINCT item_id, {_FOLDED} AS ws FROM benchmark WHERE item_id IS NOT NULL),
 windows AS (
     SELECT item_id, least(len(ws), 10) AS n, array_to_string(ws[i + 1 : i + 10], ' ') AS phrase
-    FROM b, range(0, 100000) AS x(i) WHERE len(ws) > 0 AND i <= greatest(len(ws) - 10, 0)),
+    FROM (SELECT *, unnest(range(0, greatest(len(ws) - 9, 1))) AS i FROM b WHERE len(ws) > 0)),
 d AS (SELECT row_number() OVER () AS r, doc_id, {_FOLDED} AS ws FROM documents),
 places AS (
     SELECT r, i, n, array_to_string(ws[i : i + n - 1], ' ') AS phrase FROM (
