@@ -462,6 +462,11 @@ def q_score_reviews(spark, path):
     return out.select("review_id", "p_negative", "urgency", "route", *_signals())
 
 
+def q_probe_scores(spark, path):
+    """The probe texts under the model of the documents."""
+    return scoring.probe_table(spark, model(spark, path))
+
+
 def q_route_summary(spark, path):
     return rounded(ro.route_summary(triaged(spark, path)), "share")
 

@@ -6,6 +6,7 @@ import string
 
 from voicelane.lexicon import DEFAULT_LEXICON as LEX
 from voicelane.operators import typos as ty
+from voicelane.operators.model import PROBE_TEXTS
 from voicelane.operators.threshold import Assumptions, default_grid
 from voicelane.plans import catalog as cat
 from voicelane.plans import studies
@@ -60,6 +61,11 @@ SEEDED = (
     f"{str_list(cat.SENTENCES)}, CAST(doc_id % {len(cat.SENTENCES)} AS INT) + 1) AS text "
     "FROM documents)"
 )
+PROBES = (
+    "docs AS (SELECT * FROM (VALUES "
+    + ", ".join(f"({no}::BIGINT, {quote(text)})" for no, text in enumerate(PROBE_TEXTS))
+    + ") AS probes(review_id, text))"
+)
 TURNS = f"docs AS (SELECT conv_id * {cat.TURN_IDS} + turn AS review_id, text FROM conversations)"
 NORMED = f"normed AS (SELECT review_id, {norm('text')} AS norm FROM docs)"
 LABELLED = (
@@ -598,6 +604,11 @@ def base_oracles() -> dict[str, str]:
             f"{exact3('p', 4)} AS p_negative, urgency, {route_sql('p', 'urgency')} AS route, "
             f"{SIGNAL_COLUMNS} FROM urgent u JOIN pm ON pm.review_id = u.review_id"
         ),
+        "probe_scores": (
+            f"WITH {PROBES}, {RULES}, {SCORING}, {margins('m1', 'pm')} SELECT u.review_id, d.text, "
+            f"{exact3('p', 4)} AS p_negative, {route_sql('p', 'urgency')} AS route "
+            "FROM urgent u JOIN pm ON pm.review_id = u.review_id JOIN docs d ON d.review_id = u.review_id"
+        ),
         "route_summary": (
             f"WITH {SEEDED}, {RULES}, {TRIAGED} SELECT r.route, count(t.route) AS n, "
             "round(count(t.route) / (SELECT count(*) FROM triaged)::DOUBLE, 6) AS share FROM "
