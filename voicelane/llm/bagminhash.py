@@ -14,10 +14,12 @@ Texts with equal words are one class from the start. Signatures are banded; what
 meets in a band is compared by the exact overlap of multisets, and links become
 classes. Small buckets are compared pair by pair. In a large bucket every member is
 compared with the member that shares most buckets with others (the centre of the
-group) and with its neighbour in that order; after the classes are known, buckets
-that still hold several classes compare their centres, until nothing new is linked. Then
-all members of different classes that meet in a bucket are compared, so in the end each
-pair that meets is compared or in one class.
+group) and with its neighbour in that order. Members of large buckets that still hold
+several classes are then joined by prefixes: of two texts similar enough, the rarest
+shingles of the smaller one and the rarest of the larger one meet, so only texts that
+share a rare shingle are compared, whatever else their template puts into both. Classes
+that meet there compare their centres, then all their members; in the end each pair that
+meets is compared or in one class.
 
 Null and empty texts are classes of their own; a text of one to four words is one
 shingle. Rows that repeat an id count as one document (the smallest text hash) and
@@ -40,7 +42,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voicelane.llm.common import (
-    WordHashes, components, folded_words, record_batch, slices, small_batches, staged, within, without,
+    WordHashes, components, folded_words, opened, record_batch, sealed, slices, small_batches, staged, within,
+    without,
 )
 from voicelane.llm.shingles import mixed, shingle_hashes, word_hashes
 
@@ -214,25 +217,114 @@ def bucket_pairs(members: DataFrame, small: int) -> DataFrame:
     return stars.union(pairs).select(*_ordered("doc", "other")).distinct()
 
 
-#: Members of a bucket that a task pairs with each other member at a time.
+#: Slots of the sketch of frequencies that orders shingles (8 MB, whatever the texts).
+SLOTS = 1 << 20
+#: Probing texts of a rare shingle that meet the same indexed texts in one task.
 BLOCK = 256
+_TWIN = np.uint64(0xD6E8FEB86659FD93)
 
 
-def class_pairs(named: DataFrame) -> DataFrame:
-    """Pairs of members (key, doc, root) of buckets that are in different classes.
+def numbered(bag: np.ndarray) -> np.ndarray:
+    """A sorted multiset as a set: the k-th copy of a shingle is an element of its own."""
+    first = np.searchsorted(bag, bag, "left")
+    return mixed(bag + (np.arange(len(bag)) - first).astype(np.uint64) * _TWIN)
 
-    Members are dealt over blocks and each goes to all blocks of its bucket, so no task
-    holds a bucket with all its pairs.
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for bag in batch.column("bag").to_pylist():
+            slots = numbered(np.frombuffer(bag, np.uint64)) % np.uint64(SLOTS)
+            np.add.at(total, slots.astype(np.int64), 1)
+    slots = np.flatnonzero(total)
+    yield record_batch([slots, total[slots]], ["slot", "n"], [pa.int32(), pa.int64()])
+
+
+def frequencies(bags: DataFrame) -> np.ndarray:
+    """How often elements of each slot occur; an order of elements common to all texts."""
+    rows = bags.select("bag").mapInArrow(_frequencies, "slot int, n bigint")
+    found = rows.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows
+    total = np.zeros(SLOTS, np.int64)
+    total[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return total
+
+
+def prefix_sizes(n: int, similarity: float) -> tuple[int, int]:
+    """Elements of a text of n that texts at least as large, and at most as large, must meet.
+
+    Two sets of at least this similarity share ``similarity`` of the larger one and
+    2s / (1 + s) of the smaller one at least; what is left over may all come first.
     """
-    mixed_up = named.groupBy("key").agg(
+    least = lambda share: int(np.ceil(share * n - 1e-9))
+    return n - least(2 * similarity / (1 + similarity)) + 1, n - least(similarity) + 1
+
+
+def _prefix(shared, similarity: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = shared.value
+    for batch in batches:
+        keys, docs, sizes, places, indexed = [], [], [], [], []
+        for doc, bag in zip(batch.column("doc_id").to_pylist(), batch.column("bag").to_pylist(), strict=True):
+            element = numbered(np.frombuffer(bag, np.uint64))
+            order = np.lexsort((element, total[(element % np.uint64(SLOTS)).astype(np.int64)]))
+            index, probe = prefix_sizes(len(element), similarity)
+            keys.append(element[order[:probe]].view(np.int64))
+            docs.append(np.full(probe, doc))
+            sizes.append(np.full(probe, len(element)))
+            places.append(np.arange(probe))
+            indexed.append(np.arange(probe) < index)
+        none = [np.empty(0, np.int64)]
+        columns = [np.concatenate(c + none) for c in (keys, docs, sizes, places)]
+        columns.append(np.concatenate([*indexed, np.empty(0, bool)]))
+        yield record_batch(
+            columns, ["key", "doc", "size", "place", "indexed"],
+            [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()],
+        )
+
+
+def prefixes(bags: DataFrame, similarity: float) -> DataFrame:
+    """key, doc, size, place, indexed: the rarest shingles of each text (doc_id, bag), in order."""
+    shared = bags.sparkSession.sparkContext.broadcast(frequencies(bags))
+    return bags.select("doc_id", "bag").mapInArrow(
+        functools.partial(_prefix, shared, similarity), "key bigint, doc bigint, size int, place int, indexed boolean"
+    )
+
+
+def _mixed(named: DataFrame) -> DataFrame:
+    """Rows (key, doc, root, ...) of keys that hold several classes, and rows of the key."""
+    several = named.groupBy("key").agg(
         F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")
-    ).filter("least < most").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = named.select("key", "doc", "root").join(mixed_up, "key")
+    ).filter("least < most").select("key", "n")
+    return named.join(several, "key")
+
+
+def centre_pairs(named: DataFrame, small: int) -> DataFrame:
+    """Pairs among the centres (the smallest text) of the classes that meet at a key."""
+    heads = _mixed(named).groupBy("key", "root").agg(F.min(F.struct("size", "doc")).alias("head"))
+    return bucket_pairs(heads.select("key", "head.doc", (-F.col("head.size")).alias("weight")), small)
+
+
+def class_pairs(named: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of texts of different classes that meet at a key and whose sizes allow a link.
+
+    A smaller text meets by its first, rarest shingles only. Where a pair meets first,
+    all that it shares comes at that place or later in both, so places too far back don't
+    count. Probing texts of a key are dealt over blocks and each indexed text goes to all
+    of them.
+    """
+    met = _mixed(named).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("block")
-    others = members.select("key", own, F.col("doc").alias("other"), F.col("root").alias("other_root"))
-    asked = members.select("key", "doc", "root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    met = asked.join(others, ["key", "block"]).filter("doc < other and root <> other_root")
-    return met.select(F.col("doc").alias("a"), F.col("other").alias("b")).distinct()
+    probing = met.select("key", own, "doc", "root", "size", "place")
+    indexed = met.filter("indexed").select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.col("doc").alias("other"), F.col("root").alias("other_root"), F.col("size").alias("other_size"),
+        F.col("place").alias("other_place"),
+    )
+    allowed = (F.col("root") != F.col("other_root")) & (F.col("other_size") >= F.col("size") * similarity - 1e-6)
+    both = (F.col("size") + F.col("other_size")) * (similarity / (1 + similarity)) - 1e-6
+    allowed &= F.least(F.col("size") - F.col("place"), F.col("other_size") - F.col("other_place")) >= both
+    smaller = F.struct("other_size", "other") < F.struct(F.col("size").alias("other_size"), F.col("doc").alias("other"))
+    pairs = probing.join(indexed, ["key", "block"]).filter(allowed & smaller)
+    return pairs.select(*_ordered("doc", "other")).distinct()
 
 
 def _named(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -263,23 +355,21 @@ def classes(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     links = staged(verify(tested, bags, settings.similarity), "links")
     roots = components(links, "near")
     large = members.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > settings.small)
-    crowd = staged(members.join(large.select("key"), "key", "left_semi"), "crowds")
-    while True:
-        # Buckets that hold several classes: compare the centres of the classes.
-        named = _named(crowd, roots)
-        heads = named.groupBy("key", "root").agg(
-            F.max_by("doc", F.struct("weight", -F.col("doc"))).alias("doc"), F.max("weight").alias("weight")
-        ).select("key", "doc", "weight")
-        pairs = staged(
-            bucket_pairs(heads, settings.small).join(tested, ["a", "b"], "left_anti"), "pairs"
-        )
-        found = staged(verify(pairs, bags, settings.similarity), "links")
-        if not found.limit(1).count():
-            break
-        tested, links = tested.union(pairs), links.union(found)
-        roots = components(links, "near")
+    crowd = _mixed(_named(members.join(large.select("key"), "key", "left_semi"), roots))
+    crowd = staged(crowd.select(F.col("doc").alias("doc_id")).distinct(), "crowd")
+    near = staged(prefixes(bags.join(crowd, "doc_id", "left_semi"), settings.similarity), "prefixes")
+    # Most of the rarest shingles are in one text only.
+    met = near.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    near = staged(near.join(met, "key", "left_semi"), "prefixes")
+    # Rare shingles that several classes hold: the centres of the classes first, then all.
+    pairs = staged(centre_pairs(_named(near, roots), settings.small).join(tested, ["a", "b"], "left_anti"), "pairs")
+    found = staged(verify(pairs, bags, settings.similarity), "links")
     tested = tested.union(pairs)
-    pairs = staged(class_pairs(_named(crowd, roots)).join(tested, ["a", "b"], "left_anti"), "pairs")
+    if found.limit(1).count():
+        links = links.union(found)
+        roots = components(links, "near")
+    pairs = class_pairs(_named(near, roots), settings.similarity)
+    pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
     found = staged(verify(pairs, bags, settings.similarity), "links")
     if found.limit(1).count():
         roots = components(links.union(found), "near")
@@ -296,5 +386,6 @@ def classes(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 def dedupe(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """One document of each class (the one with the smallest id), with all columns."""
-    extra = classes(docs, settings).filter("doc_id <> class_id").select("doc_id").distinct()
-    return without(docs, staged(extra, "copies"))
+    rows = sealed(docs, "doc_id", "text")
+    extra = classes(rows, settings).filter("doc_id <> class_id").select("doc_id").distinct()
+    return opened(without(rows, staged(extra, "copies")), docs, "doc_id", "text")
