@@ -97,6 +97,16 @@ def test_vocabulary_limits_and_ties(spark):
     assert [(r["term"], r["feature_id"]) for r in top] == [("aa", 0), ("bb", 1)]
 
 
+@pytest.mark.parametrize("max_features, span", [(5, (1, 2)), (12, (1, 3)), (300, (1, 2)), (5, (2, 2))])
+def test_pruned_counts_give_the_same_vocabulary(spark, corpus, max_features, span):
+    odd = spark.createDataFrame([(None,), ("",), ("x yy",), ("yy yy zz yy yy",)], "text string")
+    texts = corpus.select("text").unionByName(odd)
+    every, some = ft.term_counts(texts, "word", span), ft.word_counts_for(texts, span, max_features)
+    want, got = (sorted(map(tuple, ft.build_vocab(c, "word", max_features).collect())) for c in (every, some))
+    assert want == got and len(want) == min(max_features, every.filter("df >= 2").count())
+    assert some.count() < every.count() or span == (2, 2)
+
+
 def test_probes_and_export(spark, model):
     probes = scoring.probe_table(spark, model)
     assert probes.count() == 13

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from voicelane.config import scratch_path
 from voicelane.functions import text as tx
 from voicelane.functions.fence import computed_once
 from voicelane.operators.topk import first_k
@@ -90,7 +91,11 @@ def term_counts(
     are plain sums and frequent terms combine before the shuffle.
     """
     source = df.select("_norm" if "_norm" in df.columns else "text")
-    grams = with_ngrams(source, block, span).select("grams")
+    return _counted(with_ngrams(source, block, span).select("grams"))
+
+
+def _counted(grams: DataFrame) -> DataFrame:
+    """term, tf, df of a column of n-gram arrays."""
     listed = grams.select(
         F.size("grams").alias("n"),
         F.posexplode(F.concat("grams", F.array_distinct("grams"))).alias("pos", "term"),
@@ -101,6 +106,53 @@ def term_counts(
     )
 
 
+def _only(words: str, frequent: pa.Array) -> Column:
+    """An array of words with null in place of all that are not frequent."""
+
+    @F.arrow_udf("array<string>")
+    def masked(column: pa.Array) -> pa.Array:
+        flat, sizes = column.flatten(), column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        kept = pc.if_else(pc.is_in(flat, value_set=frequent), flat, pa.scalar(None, flat.type))
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), kept)
+
+    return masked(F.col(words))
+
+
+def word_counts_for(
+    df: DataFrame, span: tuple[int, int], max_features: int, min_df: int | None = None
+) -> DataFrame:
+    """``term_counts`` of word n-grams, less terms that can't be among ``max_features``.
+
+    An n-gram occurs in no more places and reviews than any of its words. Single words are
+    counted first. If ``max_features`` of them are frequent enough, the least of these is
+    a bound that every term of the vocabulary reaches, so longer n-grams are only listed
+    where all their words reach it (and the least number of reviews). What would be
+    shuffled only to be dropped stays where it is; the vocabulary is the same. The words
+    sent to the tasks are ``max_features`` and ties; with more ties than that times three
+    nothing is left out.
+    """
+    lo, hi = span
+    if lo > 1 or hi == 1:
+        return term_counts(df, "word", span)
+    least = MIN_DF["word"] if min_df is None else min_df
+    path = scratch_path(df.sparkSession, "words")
+    term_counts(df, "word", (1, 1)).write.parquet(path)
+    singles = df.sparkSession.read.parquet(path)
+    top = build_vocab(singles, "word", max_features, least).agg(
+        F.count(F.lit(1)).alias("n"), F.min("tf").alias("tf")
+    ).first()
+    bound = top["tf"] if top["n"] == max_features else 0
+    frequent = singles.filter((F.col("df") >= least) & (F.col("tf") >= bound)).select("term")
+    if frequent.count() > 4 * max_features:
+        return term_counts(df, "word", span)
+    words = frequent.toArrow().column("term").combine_chunks()
+    source = normed(df.select("_norm" if "_norm" in df.columns else "text"))
+    listed = source.select(tx.model_words(F.col("_norm")).alias("_words"))
+    listed = listed.withColumn("_words", _only("_words", words))
+    grams = listed.select(F.array_compact(tx.word_ngrams(F.col("_words"), 2, hi)).alias("grams"))
+    return singles.unionByName(_counted(grams))
+
+
 def build_vocab(
     counts: DataFrame, block: str, max_features: int = MAX_FEATURES, min_df: int | None = None
 ) -> DataFrame:

@@ -125,6 +125,8 @@ def fit_space(
 
     def cut(block: str, span: tuple[int, int]) -> DataFrame:
         known = (counts or {}).get((block, span))
+        if known is None and block == "word":
+            known = ft.word_counts_for(train, span, max_features)
         return ft.build_vocab(
             ft.term_counts(train, block, span) if known is None else known, block, max_features
         )
