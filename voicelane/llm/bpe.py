@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from voicelane.llm.common import slices, small_batches
 
 #: Pieces that a worker remembers in each of two generations.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 60_000
 #: Texts encoded at a time: the more, the more prefixes their new pieces share.
-TEXTS_AT_ONCE = 1_000
+TEXTS_AT_ONCE = 500
 #: Pairs of tokens whose answer a task remembers.
-CACHE_PAIRS = 500_000
+CACHE_PAIRS = 250_000
 NEVER = 1 << 60
 #: Bytes at the end of a prefix that preselect the lengths of candidates.
 TAIL = 4
