@@ -72,3 +72,23 @@ def test_a_lexicon_of_fifty_thousand_terms(spark):
     assert sorted({(r["token"], r["group"], r["term"]) for r in mined.collect()}) == sorted(
         {(w, groups[t], t) for _, w, t in want if w not in members[groups[t]]}
     )
+
+
+@pytest.mark.parametrize("most", [1_000, 0])
+def test_only_the_rests_of_few_terms_are_sent_to_all_tasks(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr("voicelane.operators.neighbours.BROADCAST_TERMS", most)
+    path = str(tmp_path / "tokens")
+    spark.createDataFrame([("cancle",), ("cancel",), ("winter",)], "token string").write.parquet(path)
+    # Rows from Python have no known size, so the tokens' small file looked like the one to send.
+    terms = spark.createDataFrame([("cancel",)], "term string")
+    got = near(spark.read.parquet(path), terms, 1)
+    assert sorted(r["token"] for r in got.collect()) == ["cancel", "cancle"]
+    plan = got._jdf.queryExecution().toString()
+    assert "BuildLeft" not in plan and ("BuildRight" in plan) == bool(most)
+
+
+def test_token_counts_are_not_sent_to_all_tasks(reviews):
+    report = mt.guard_report(reviews("cancle it", "cancle that"))
+    assert {(r["token"], r["n"]) for r in report.collect()} == {("cancle", 2)}
+    plan = report._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [token" in plan

@@ -331,7 +331,7 @@ def _near_pairs(counts: DataFrame, lexicon: Lexicon) -> DataFrame:
     counts = spark.read.parquet(path)
     pairs = near_terms(counts.select("token"), terms.select("term", "budget").distinct())
     return (
-        pairs.join(counts, "token")
+        pairs.join(counts.hint("merge"), "token")  # all tokens of the corpus: not to be sent
         .join(terms.select("group", "term").distinct(), "term")
         .join(members, ["group", "token"], "left")
         .select("token", "n", "group", F.coalesce("member", F.lit(False)).alias("member"), "term")

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from voicelane.functions.edits import within_edits
 
+#: Terms whose rests are sent to all tasks (a hundred rests a term, some 10 MB).
+BROADCAST_TERMS = 1_000
+
 
 def _without_one(word: str, at: str) -> str:
     """SQL: the word without each of its letters in turn."""
@@ -42,9 +45,13 @@ def _keys(words: DataFrame, column: str, budget: int) -> DataFrame:
 def near(tokens: DataFrame, terms: DataFrame, budget: int) -> DataFrame:
     """token, term: pairs of tokens and terms (one column each, distinct) within ``budget`` edits.
 
-    Tokens whose length no term comes near are left out before they list their rests.
+    Tokens whose length no term comes near are left out before they list their rests. The
+    rests of few terms go to all tasks, those of many are shuffled; the tokens' rests are
+    never sent, though the tokens may be a small file.
     """
-    span = terms.agg(F.min(F.length("term")).alias("lo"), F.max(F.length("term")).alias("hi")).first()
+    span = terms.agg(
+        F.min(F.length("term")).alias("lo"), F.max(F.length("term")).alias("hi"), F.count("term").alias("n")
+    ).first()
     if span["lo"] is None:
         return tokens.select("token").limit(0).withColumn("term", F.lit(None).cast("string"))
     if span["lo"] <= budget:
@@ -52,6 +59,7 @@ def near(tokens: DataFrame, terms: DataFrame, budget: int) -> DataFrame:
     fitting = F.length("token").between(max(span["lo"] - budget, 1), span["hi"] + budget)
     left = _keys(tokens.filter(fitting), "token", budget)
     right = _keys(terms, "term", budget)
+    right = F.broadcast(right) if span["n"] <= BROADCAST_TERMS else right.hint("merge")
     met = left.join(right, "_rest").select("token", "term").distinct()
     return met.filter(F.expr(within_edits("token", "term", str(budget))))
 
