@@ -91,3 +91,30 @@ def test_optimality_tells_a_fitted_model_from_a_moved_one(spark):
     moved = mo.ReviewModel(models[0].space, models[0].coef + 0.01, models[0].intercept)
     worse = {r["block"]: r["largest"] for r in mo.optimality(ready, [(moved, 1.0)]).collect()}
     assert worse["word"] > 1e-4
+
+
+def test_blocks_hold_all_rows_and_give_the_same_sums(made, monkeypatch):
+    monkeypatch.setattr(solver, "ENTRIES", 20)
+    blocks = solver.packed(made[1])
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
+    assert blocks.rdd.getNumPartitions() <= cores
+    # More files than cores are still read by a task a core.
+    assert solver.packed(made[1].repartition(3 * cores)).rdd.getNumPartitions() <= cores
+    points = np.random.default_rng(3).normal(size=(2, 31))
+    for want, got in zip(solver.evaluate(made[1], points), solver.evaluate(blocks, points)):
+        assert np.allclose(want, got)
+
+
+def test_the_driver_takes_few_partial_sums_of_a_pass():
+    model, tasks, passes = 100_001 * 8, 100, 100
+    assert solver.DRIVER_BYTES < tasks * model  # many tasks: summed by a shuffle first
+    assert passes * max(solver.DRIVER_BYTES, model) < 1_000 << 20
+
+
+def test_derivatives_are_added_up_by_the_tasks(spark):
+    texts = [("good film", 1), ("bad film", 0), ("good plot", 1), ("bad plot", 0)] * 5
+    ready = mo.prepared(spark.createDataFrame(texts, "text string, label int"))
+    table = mo.optimality(ready, [(mo.fit(ready), 1.0)])
+    plan = table._jdf.queryExecution().toString()
+    assert "Generate explode" not in plan and "Generate inline(entries" not in plan
+    assert all(r["largest"] <= 1e-6 for r in table.collect())
