@@ -1,4 +1,6 @@
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,3 +165,45 @@ def test_shared_counts_give_the_same_space(corpus):
     a, b = mo.fit_space(corpus), mo.fit_space(ready, counts=counts)
     assert [p.terms for p in a.parts] == [p.terms for p in b.parts]
     assert all(np.allclose(x.idf, y.idf) for x, y in zip(a.parts, b.parts))
+
+
+ODD_TEXTS = ["A cat, a cat and the catalogue", "", None, "  ", "i \U0001d538\U0001d539 \u00e9", "no\tblank " * 9, "cat"]
+
+
+def test_character_counts_per_word_equal_those_per_occurrence(spark):
+    df = spark.createDataFrame([(t,) for t in ODD_TEXTS * 3], "text string").repartition(2)
+    for span in [(3, 5), (4, 5), (5, 5)]:
+        want = ft._counted(ft.with_ngrams(df, "char", span).select("grams"))
+        got = ft.term_counts(df, "char", span)
+        assert "MapInArrow" in got._jdf.queryExecution().toString()  # not one row per occurrence
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("counted, cached", [(5, 200_000), (400_000, 1)])
+def test_character_counts_passed_on_early_add_up(monkeypatch, counted, cached):
+    def summed():
+        batch = pa.RecordBatch.from_arrays([pa.array(ODD_TEXTS * 3)], ["_norm"])
+        parts = [b.to_pandas() for b in ft._char_counts((3, 5), iter([batch, batch]))]
+        return len(parts), pd.concat(parts).groupby("term").sum().sort_index()
+
+    few, want = summed()
+    monkeypatch.setattr(ft, "_COUNTED", counted)
+    monkeypatch.setattr(ft, "_CACHE_WORDS", cached)
+    monkeypatch.setattr(ft, "_CHUNK_BYTES", 40)
+    more, got = summed()
+    assert more > few and got.equals(want) and want.loc["cat", "df"] == 12
+
+
+def test_text_goes_to_python_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        df = spark.createDataFrame([("a cat",), ("a cat",)], "text string")
+        vocab = ft.build_vocab(ft.term_counts(df, "word"), "word").withColumn("idf", F.lit(1.0))
+        space = ft.FeatureSpace.from_vocab(vocab)
+        spark.conf.unset(key)
+        space.with_inputs(df)
+        assert int(spark.conf.get(key).rstrip("b")) == 4 << 20
+    finally:
+        spark.conf.set(key, before)
