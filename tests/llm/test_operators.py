@@ -15,7 +15,7 @@ from tests.test_queries import canon
 from voicelane.llm import (
     bagminhash, bpe, chat, decontam, eliasfano, lm, passages, quality, queries, rollup, toxic, warc,
 )
-from voicelane.llm.common import WORD, WordHashes, components, within, without, word_spans
+from voicelane.llm.common import WORD, WordHashes, components, joined_components, within, without, word_spans
 from voicelane.llm.shingles import shingle_hashes, word_hashes
 
 DOCS = "doc_id bigint, text string, source string, __maybe string, n_words string, label string"
@@ -400,6 +400,24 @@ def test_bagminhash(spark, odd, texts):
     assert bagminhash.dedupe(some).count() == len(ODD) - 1 and bagminhash.classes(none).count() == 0
 
 
+def test_more_links_join_known_classes(spark):
+    link = lambda *pairs: spark.createDataFrame(pairs, "a bigint, b bigint")
+    roots = components(link((1, 2), (2, 3), (4, 5), (7, 8)), "t")
+    more = joined_components(roots, link((3, 5), (9, 10), (5, 11), (7, 8)), "t")
+    got = sorted((r["node"], r["root"]) for r in more.collect())
+    assert got == [*((k, 1) for k in (1, 2, 3, 4, 5)), (7, 7), (8, 7), (9, 9), (10, 9), (11, 1)]
+
+
+def test_bagminhash_compares_members_of_one_class_once(spark, monkeypatch):
+    compared, plain, n = [], bagminhash.verify, 60
+    monkeypatch.setattr(bagminhash, "verify", lambda pairs, *a: compared.append(pairs.count()) or plain(pairs, *a))
+    words = prose(400, 77)
+    rows = [(k, " ".join(words[: 5 * k] + [f"edit{k}"] + words[5 * k + 1 :])) for k in range(n)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["class_id"] for r in bagminhash.classes(df).collect()} == {0}
+    assert sum(compared) < 2 * n  # 172 where all of a bucket were compared
+
+
 def test_bagminhash_twins_in_a_template(spark):
     # Pages of one template are 0.77 to each other, a twin is 0.83 to its page.
     template, rows = prose(70, 204), []

@@ -12,9 +12,10 @@ registers are likely filled, which makes the work nearly linear in the text.
 
 Texts with equal words are one class from the start. Signatures are banded; what
 meets in a band is compared by the exact overlap of multisets, and links become
-classes. Small buckets are compared pair by pair. In a large bucket every member is
-compared with the member that shares most buckets with others (the centre of the
-group) and with its neighbour in that order. Members of large buckets that still hold
+classes. Every member of a bucket is compared with the member that shares most buckets
+with others (the centre of the group) first. Where a bucket still holds several classes,
+its members are compared with their neighbour in that order, and in small buckets pair by
+pair, as far as they are of different classes. Members of large buckets that still hold
 several classes are then joined by prefixes: of two texts similar enough, the rarest
 shingles of the smaller one and the rarest of the larger one meet, so only texts that
 share a rare shingle are compared, whatever else their template puts into both. Classes
@@ -42,8 +43,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voicelane.llm.common import (
-    WordHashes, components, folded_words, opened, record_batch, sealed, slices, small_batches, staged, within,
-    without,
+    WordHashes, components, folded_words, joined_components, opened, record_batch, sealed, slices, small_batches,
+    staged, within, without,
 )
 from voicelane.llm.shingles import mixed, shingle_hashes, word_hashes
 
@@ -201,6 +202,22 @@ def _ordered(a, b):
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def star_pairs(members: DataFrame) -> DataFrame:
+    """Each member (key, doc, weight) of a bucket with the centre of the bucket, once."""
+    centres = members.groupBy("key").agg(F.min_by("doc", F.struct(-F.col("weight"), "doc")).alias("other"))
+    pairs = members.join(centres, "key").filter("doc <> other")
+    return pairs.select(*_ordered("doc", "other")).distinct()
+
+
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts are not of one class yet (roots: node, root)."""
+    for side in ("a", "b"):
+        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"_{side}"))
+        pairs = pairs.join(own, side, "left")
+    differ = F.coalesce("_a", "a") != F.coalesce("_b", "b")
+    return pairs.filter(differ).select("a", "b")
+
+
 def bucket_pairs(members: DataFrame, small: int) -> DataFrame:
     """Pairs to compare among the members (key, doc, weight) of buckets."""
     order = W.partitionBy("key").orderBy(F.desc("weight"), "doc")
@@ -351,9 +368,17 @@ def classes(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     bags = texts.mapInArrow(_bags, "doc_id bigint, bag binary").groupBy("doc_id").agg(F.min("bag").alias("bag"))
     bags = staged(bags, "bags")
 
-    tested = staged(bucket_pairs(members, settings.small), "pairs")
+    tested = staged(star_pairs(members), "pairs")
     links = staged(verify(tested, bags, settings.similarity), "links")
     roots = components(links, "near")
+    # What the centres leave apart in a bucket; members of one class need no other link.
+    mixed_buckets = _mixed(_named(members, roots)).select("key", "doc", "weight")
+    rest = apart(bucket_pairs(mixed_buckets, settings.small), roots).join(tested, ["a", "b"], "left_anti")
+    rest = staged(rest, "pairs")
+    found = staged(verify(rest, bags, settings.similarity), "links")
+    tested = tested.union(rest)
+    if found.limit(1).count():
+        roots = joined_components(roots, found, "near")
     large = members.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > settings.small)
     crowd = _mixed(_named(members.join(large.select("key"), "key", "left_semi"), roots))
     crowd = staged(crowd.select(F.col("doc").alias("doc_id")).distinct(), "crowd")
@@ -366,13 +391,12 @@ def classes(docs: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     found = staged(verify(pairs, bags, settings.similarity), "links")
     tested = tested.union(pairs)
     if found.limit(1).count():
-        links = links.union(found)
-        roots = components(links, "near")
+        roots = joined_components(roots, found, "near")
     pairs = class_pairs(_named(near, roots), settings.similarity)
     pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
     found = staged(verify(pairs, bags, settings.similarity), "links")
     if found.limit(1).count():
-        roots = components(links.union(found), "near")
+        roots = joined_components(roots, found, "near")
     by_copy = copies.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", F.coalesce("root", "rep").alias("class_id")
     )
