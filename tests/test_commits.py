@@ -112,3 +112,11 @@ def test_scoring_stream_replays_a_batch_without_doubles(spark, tmp_path, partiti
     assert run() == [0, 1, 2, 6, 10]
     assert triage.forget_last_commit(spark, cp) == 1
     assert run() == [0, 1, 2, 6, 10]
+
+
+def test_a_committed_delivery_is_not_scored_again(reviews, tmp_path):
+    sinks, path = {r: str(tmp_path / r) for r in LANES}, str(tmp_path / "commits")
+    scored = scorer(reviews(TEXTS[0], TEXTS[1], TEXTS[2]))
+    rv.fan_out(scored, sinks, commits=path, key="k1")
+    broken = scored.withColumn("urgency", F.raise_error(F.lit("scored again")).cast("double"))
+    rv.fan_out(broken, sinks, commits=path, key="k1")

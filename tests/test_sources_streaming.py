@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from voicelane.plans import scoring
+from voicelane.plans import catalog, scoring
 from voicelane.sources import reviews as rv
 from voicelane.sources import runs
 from voicelane.streaming import triage
@@ -103,3 +103,21 @@ def test_run_log(spark, tmp_path):
     assert log.count() == 4 and log.first()["params"] == {"C": "1.0"}
     got = {r["experiment"]: r["f1_negative"] for r in runs.latest_runs(log).collect()}
     assert got == {"base": pytest.approx(0.9028, abs=1.1e-4), "big": 0.7}
+
+
+def test_every_batch_of_an_arriving_half_has_a_file_per_core(spark, tmp_path):
+    rows = [(k, f"text number {k}") for k in range(2000)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "t" / "documents.parquet"))
+    base, plans = str(tmp_path / "s"), []
+
+    def start(stream):
+        plans.append(stream)
+        own = stream.writeStream.format("parquet").option("path", f"{base}/out")
+        return own.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+
+    catalog._arriving(spark, str(tmp_path / "t"), base, start)
+    files = spark.read.parquet(f"{base}/in").select(F.input_file_name()).distinct().count()
+    assert len(plans) == 2 and files == 4 * spark.sparkContext.defaultParallelism  # were 4 files, read by a task each
+    batches = [p.name for p in (tmp_path / "s" / "checkpoint" / "commits").iterdir() if p.name.isdigit()]
+    assert len(batches) == 4
+    assert sorted(r["review_id"] for r in spark.read.parquet(f"{base}/out").collect()) == list(range(2000))

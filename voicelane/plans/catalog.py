@@ -294,7 +294,10 @@ def q_delivered_lanes(spark, path):
     target = scratch_path(spark, "deliveries")
     sinks = {lane: f"{target}/{lane}" for lane in ro.ROUTES}
     commits = f"{target}/commits"
-    reviews = triaged(spark, path)
+    # Scored once: every delivery, retry and death below takes the stored scores.
+    stored = scratch_path(spark, "scored")
+    triaged(spark, path).select("review_id", "p_negative", "urgency", "signals", "route").write.parquet(stored)
+    reviews = spark.read.parquet(stored)
     even = F.col("review_id") % 2 == 0
 
     def die_after_one(rows: DataFrame, key: str) -> None:
@@ -756,15 +759,16 @@ def _routed(spark, sinks) -> DataFrame:
 def _arriving(spark, path, base, start) -> None:
     """Run a stream over reviews that arrive in two halves, with one batch replayed.
 
-    ``start`` starts a query over a source, with one file in each micro-batch. After the
-    first half the last batch loses its commit, as if the driver had died before it.
+    ``start`` starts a query over a source. A half arrives as two micro-batches of a file
+    per core, so all cores score it. After the first half the last batch loses its commit,
+    as if the driver had died before it.
     """
-    source = f"{base}/in"
+    source, cores = f"{base}/in", spark.sparkContext.defaultParallelism
     reviews = seeded(spark, path).withColumn("part", F.pmod(F.xxhash64("review_id"), F.lit(4)))
     for half in (0, 1):
         own = reviews.filter(F.col("part").between(2 * half, 2 * half + 1))
-        own.repartition(2, "part").select("review_id", "text").write.mode("append").parquet(source)
-        stream = rv.read_reviews(spark, source, "parquet", streaming=True, files_per_trigger=1)
+        own.repartition(2 * cores, "review_id").select("review_id", "text").write.mode("append").parquet(source)
+        stream = rv.read_reviews(spark, source, "parquet", streaming=True, files_per_trigger=cores)
         start(stream).awaitTermination()
         if half == 0:
             triage.forget_last_commit(spark, f"{base}/checkpoint")

@@ -120,6 +120,8 @@ def fan_out(
     """
     if (commits is None) != (key is None):
         raise ValueError("commits and key go together")
+    if key is not None and cm.committed(scored.sparkSession, commits, key) is not None:
+        return  # nothing is scored again
     kept = response(scored).persist()
     try:
         known = F.coalesce(F.col("route").isin(*sinks), F.lit(False))
