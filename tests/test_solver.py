@@ -118,3 +118,11 @@ def test_derivatives_are_added_up_by_the_tasks(spark):
     plan = table._jdf.queryExecution().toString()
     assert "Generate explode" not in plan and "Generate inline(entries" not in plan
     assert all(r["largest"] <= 1e-6 for r in table.collect())
+
+
+def test_blocks_are_read_one_by_one_and_the_session_keeps_its_settings(spark, made):
+    key = "spark.sql.parquet.enableVectorizedReader"
+    before = spark.conf.get(key)
+    blocks = solver.packed(made[1])
+    assert "Batched: false" in blocks._jdf.queryExecution().toString()
+    assert spark.conf.get(key) == before
