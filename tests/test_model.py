@@ -207,3 +207,19 @@ def test_text_goes_to_python_in_small_batches(spark):
         assert int(spark.conf.get(key).rstrip("b")) == 4 << 20
     finally:
         spark.conf.set(key, before)
+
+
+def test_ngrams_are_counted_where_the_review_lies(spark):
+    texts = [(1, "bad film bad film"), (2, ""), (3, None), (4, "Good good plot")]
+    df = spark.createDataFrame(texts, "review_id bigint, text string")
+    counts = ft.ngram_counts(df, "word")
+    assert "hashpartitioning" not in counts._jdf.queryExecution().toString()
+    assert sorted(map(tuple, counts.collect())) == [
+        (1, "bad", 2), (1, "bad film", 2), (1, "film", 2), (1, "film bad", 1),
+        (4, "good", 2), (4, "good good", 1), (4, "good plot", 1), (4, "plot", 1),
+    ]
+    # Reviews that share an id, also none, are counted as one.
+    more = df.unionByName(spark.createDataFrame([(1, "bad"), (None, "bad"), (None, "bad plot")], df.schema))
+    got = {tuple(r) for r in ft.ngram_counts(more, "word").collect()}
+    assert {(1, "bad", 3), (None, "bad", 2), (None, "bad plot", 1), (4, "plot", 1)} <= got
+    assert len(got) == 4 + 3 + 4

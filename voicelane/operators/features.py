@@ -71,16 +71,56 @@ def with_ngrams(
     )
 
 
+def _run_starts(ordered: str) -> Column:
+    """Places in a sorted array where a run of equal entries starts."""
+    place = F.transform(
+        F.col(ordered), lambda g, i: F.when((i == 0) | (g != F.get(F.col(ordered), i - 1)), i)
+    )
+    return F.filter(place, lambda i: i.isNotNull())
+
+
+def _runs(ordered: str, starts: str) -> Column:
+    """Array of struct<term, tf>: the entry of each run and its length."""
+    after = lambda k: F.coalesce(F.get(F.col(starts), k + 1), F.size(ordered))
+    return F.transform(
+        F.col(starts),
+        lambda i, k: F.struct(
+            F.get(F.col(ordered), i).alias("term"), (after(k) - i).cast("bigint").alias("tf")
+        ),
+    )
+
+
 def ngram_counts(
     df: DataFrame, block: str, span: tuple[int, int] | None = None
 ) -> DataFrame:
-    """Long table review_id, term, tf. The shuffle carries one row per distinct pair."""
-    listed = with_ngrams(df.select("review_id", "text"), block, span)
-    return (
-        computed_once(listed.select("review_id", "grams"), "all", F.col("grams"))
-        .select("review_id", F.explode("all").alias("term"))
-        .groupBy("review_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    """Long table review_id, term, tf.
+
+    Every review counts its own n-grams where it lies. Only reviews that share their id
+    with another (or have none, if several) are added up by a shuffle; they are found by
+    the ids alone, before any text is read.
+    """
+    shared = (
+        df.groupBy("review_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("review_id")
+    )
+    path = scratch_path(df.sparkSession, "shared-ids")
+    shared.write.parquet(path)
+    shared = df.sparkSession.read.parquet(path)
+
+    def listed(rows: DataFrame) -> DataFrame:
+        grams = with_ngrams(rows.select("review_id", "text"), block, span).select("review_id", "grams")
+        # Columns of their own: the n-grams are made once, and sorted once.
+        grams = computed_once(grams, "ordered", F.array_sort("grams")).drop("grams")
+        starts = computed_once(grams, "starts", _run_starts("ordered"))
+        return computed_once(starts, "counted", _runs("ordered", "starts")).select(
+            "review_id", F.inline("counted")
+        )
+
+    if not shared.limit(1).count():
+        return listed(df)
+    same = df["review_id"].eqNullSafe(shared["review_id"])
+    several = listed(df.join(shared, same, "left_semi"))
+    return listed(df.join(shared, same, "left_anti")).unionByName(
+        several.groupBy("review_id", "term").agg(F.sum("tf").alias("tf"))
     )
 
 
