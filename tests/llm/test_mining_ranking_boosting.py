@@ -218,3 +218,13 @@ def test_boosting_of_odd_rows(spark, odd):
     blank = boosted.train(known.limit(0))
     assert boosted.score(boosted.described(rows), blank).first()["score"] == 0.5
     assert boosted.score(boosted.described(none), blank).count() == 0
+
+
+def test_phrases_are_told_apart_in_one_number_or_step_by_step():
+    rng = np.random.default_rng(5)
+    for size in (2, 3, 4):
+        columns = [rng.integers(0, 6, 500) for _ in range(size)]
+        want = sorted(Counter(zip(*[c.tolist() for c in columns])).items())
+        for words in (6, 1 << 31):  # numbers of so many words fit 64 bits together, or don't
+            found, n = phrases._distinct(columns, words)
+            assert list(zip(zip(*[c.tolist() for c in found]), n.tolist())) == want

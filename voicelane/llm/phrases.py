@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -137,7 +138,26 @@ class Wanted:
     whole: object = None
 
 
-def _phrases(wanted: Wanted, lang: str, texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+def _distinct(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of columns of numbers below ``size``, in order, and their counts."""
+    bits = max((size - 1).bit_length(), 1)
+    if bits * len(columns) <= 64:  # a row fits one number, which sorts fast
+        key = columns[0].astype(np.uint64)
+        for column in columns[1:]:
+            key = key << np.uint64(bits) | column.astype(np.uint64)
+        key, n = np.unique(key, return_counts=True)
+        shifts = [np.uint64(bits * k) for k in reversed(range(len(columns)))]
+        return [(key >> k & np.uint64((1 << bits) - 1)).astype(np.int64) for k in shifts], n
+    key = columns[0]
+    for k, column in enumerate(columns[1:]):
+        if k:
+            key = np.unique(key, return_inverse=True)[1]
+        key = key << 32 | column
+    _, first, n = np.unique(key, return_index=True, return_counts=True)
+    return [column[first] for column in columns], n
+
+
+def _phrases(wanted: Wanted, lang: str, texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     """Distinct wanted phrases of some texts of a language, and their counts."""
     joined = (b" " + _END + b" ").join(texts).translate(_PIECES)
     tokens = joined.replace(_END, b" " + _END + b" ").split(b" ")
@@ -148,7 +168,8 @@ def _phrases(wanted: Wanted, lang: str, texts: list[bytes]) -> tuple[list[bytes]
     if wanted.size == 1:
         n = np.bincount(ids, minlength=len(words))
         use = np.flatnonzero(n[2:]) + 2
-        return [b"", *[words[k] for k in use]], np.concatenate(([n[2:].sum()], n[use]))
+        found = pa.array([b"", *[words[k] for k in use]], pa.string())
+        return found, np.concatenate(([n[2:].sum()], n[use]))
     hashes = _hash(words, lang)
     good = np.ones(len(words), bool)
     if wanted.size == 2:
@@ -176,14 +197,9 @@ def _phrases(wanted: Wanted, lang: str, texts: list[bytes]) -> tuple[list[bytes]
             if bits is not None:
                 use |= _member(bits.value, run(first, stop))
         places = places[use]
-    key = ids[places]
-    for k in range(1, wanted.size):
-        if k > 1:
-            key = np.unique(key, return_inverse=True)[1]
-        key = key << 32 | ids[places + k]
-    _, first, n = np.unique(key, return_index=True, return_counts=True)
-    columns = [ids[places[first] + k].tolist() for k in range(wanted.size)]
-    return [b" ".join([words[k] for k in row]) for row in zip(*columns, strict=True)], n
+    columns, n = _distinct([ids[places + k] for k in range(wanted.size)], len(words))
+    spelt = pa.array(words, pa.string())
+    return pc.binary_join_element_wise(*[spelt.take(pa.array(c)) for c in columns], " "), n
 
 
 def _count(wanted: Wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +211,7 @@ def _count(wanted: Wanted, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             phrases, n = _phrases(wanted, lang, texts)
             if len(phrases):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), pa.array(n, pa.int64())],
+                    [pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(n, pa.int64())],
                     ["lang", "phrase", "n"],
                 )
         held.clear()
