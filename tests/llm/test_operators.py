@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import os
 import random
 
@@ -368,6 +369,54 @@ def test_language_model(spark, odd):
     assert lm.score(odd[0], lm.F.lit(True)).count() == len(ODD) and lm.score(odd[1], lm.F.lit(False)).count() == 0
 
 
+@pytest.mark.parametrize("frequent", [0, 4, 65_000])
+def test_language_model_tells_rare_words_apart(spark, frequent):
+    """Bigrams of words that no task holds count as they are, by a plain model in Python."""
+    rng = random.Random(5)
+    pool = [f"w{k}" for k in range(40)]
+    train = [" ".join(rng.choices(pool, [60 / (k + 1) for k in range(40)], k=rng.randint(0, 40))) for _ in range(60)]
+    train += ["red car blue sky"] * 3
+    held = ["red car", "red sky", "blue car zzz w3 yyy", "w0 w1 w39 red car blue", "", "zzz yyy"]
+    df = spark.createDataFrame(list(enumerate(train + held)), "doc_id bigint, text string").repartition(3)
+    settings = lm.Settings(frequent=frequent, bundle=7, shard_tokens=100)
+    got = {r["doc_id"]: r for r in lm.score(df, lm.F.col("doc_id") >= len(train), settings).collect()}
+    counts = spark.createDataFrame(list(collections.Counter(w for t in train for w in lm.tokens(t)).items()), "word binary, n bigint")
+    model = lm.unigrams(counts, settings)
+    assert (len(model.words) == 0) == (frequent == 0) and (len(model.words) == model.distinct) == (frequent > 4)
+    n = {bytes(r["word"]): r["n"] for r in counts.collect()}
+    pairs = collections.Counter(p for t in train for p in itertools.pairwise([None, *lm.tokens(t)]))
+    ahead, followers = collections.Counter(), collections.Counter()
+    for (v, _), c in pairs.items():
+        ahead[v], followers[v] = ahead[v] + c, followers[v] + 1
+    short = [c for (v, _), c in pairs.items() if v is None or v in model.words]
+    once, twice = short.count(1), short.count(2)
+    d = once / (once + 2 * twice) if once and twice else 0.5
+
+    def p(v, w):
+        c, own = pairs[v, w], float(model.probability(n.get(w, 0)))
+        if v is None or v in model.words:
+            return max(c - d, 0) / ahead[v] + d * followers[v] / ahead[v] * own
+        return (c + settings.prior * own) / (ahead[v] + settings.prior)
+
+    for v in (None, b"red", b"w0", b"zzz"):  # all next words together, with one for the unseen
+        assert np.isclose(sum(p(v, w) for w in [*n, b"?"]), 1)
+    for k, text in enumerate(train + held):
+        words = lm.tokens(text)
+        want = sum(np.log10(p(v, w)) for v, w in itertools.pairwise([None, *words]))
+        assert abs(got[k]["score"] - want) < (1e-9 if frequent == 0 else 0.02 * len(words)), (k, got[k]["score"], want)
+        assert got[k]["n_known"] == sum(w in n for w in words)
+        assert np.isclose(got[k]["base_score"], sum(float(model.base(n.get(w, 0))) for w in words))
+
+
+def test_language_model_hashes(spark):
+    words = [b"", b"a", "é😀".encode(), b"x" * 100]
+    df = spark.createDataFrame([(w,) for w in words], "word binary")
+    for salt in (b"", b"7"):
+        got = df.select("word", lm.F.xxhash64(lm.F.concat(lm.F.lit(salt), "word"))).collect()
+        assert {bytes(w): h % 2**64 for w, h in got} == {w: lm.word_hash(w, salt) for w in words}
+    assert lm.salt_of(df) == b""
+
+
 def test_bagminhash(spark, odd, texts):
     # registers agree as often as weighted Jaccard says
     a, b = {1: 5, 2: 1, 3: 8, 4: 1}, {1: 2, 2: 1, 3: 9, 5: 3}

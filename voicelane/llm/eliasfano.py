@@ -34,8 +34,10 @@ class EliasFano:
         values = values.astype(np.int64)
         low = b""
         if bits and n:
-            each = (values[:, None] >> np.arange(bits)) & 1
-            low = np.packbits(each.astype(np.uint8).ravel(), bitorder="little").tobytes()
+            each = np.empty((n, bits), np.uint8)
+            for k in range(bits):
+                each[:, k] = (values >> k) & 1
+            low = np.packbits(each.ravel(), bitorder="little").tobytes()
         marks = np.zeros(n + (universe >> bits) + 1, np.uint8)
         marks[(values >> bits) + np.arange(n)] = 1
         return cls(n, bits, low + bytes(8), np.packbits(marks, bitorder="little").tobytes())
