@@ -1,3 +1,5 @@
+import collections
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -194,6 +196,28 @@ def test_character_counts_passed_on_early_add_up(monkeypatch, counted, cached):
     assert more > few and got.equals(want) and want.loc["cat", "df"] == 12
 
 
+def test_character_counts_make_numbers_not_strings(monkeypatch):
+    monkeypatch.setattr(ft, "_grams_of_word", None)  # was called for every distinct word
+    batch = pa.RecordBatch.from_arrays([pa.array(["a cat", "cat cat"])], ["_norm"])
+    rows = [r for b in ft._char_counts((3, 5), iter([batch])) for r in b.to_pylist()]
+    assert {r["term"]: (r["tf"], r["df"]) for r in rows} == {" a ": (1, 1)} | dict.fromkeys(
+        [" ca", "cat", "at ", " cat", "cat ", " cat "], (3, 2)
+    )
+
+
+def test_character_counts_beyond_the_list_of_characters():
+    """More characters than 12 bits can number, and NULs at the end of n-grams."""
+    many = ["".join(map(chr, range(a, a + 3000))) for a in (0x4E00, 0x6E00)]
+    texts = [*many, " ".join(many), "a\0 \0\0\0", "ab"]
+    batches = [pa.RecordBatch.from_arrays([pa.array([t])], ["_norm"]) for t in texts]
+    tf, df = collections.Counter(), collections.Counter()
+    for row in [r for b in ft._char_counts((3, 5), iter(batches)) for r in b.to_pylist()]:
+        tf[row["term"]] += row["tf"]
+        df[row["term"]] += row["df"]
+    want = collections.Counter(g for t in texts for w in t.split(" ") for g in ft._grams_of_word(w, 3, 5))
+    assert tf == want and df[" ab"] == 1 and df[many[0][:5]] == 2 and " a\0" in want
+
+
 def test_text_goes_to_python_in_small_batches(spark):
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(key)
