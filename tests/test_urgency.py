@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voicelane.lexicon import DEFAULT_LEXICON
+from voicelane.operators import matching as m
 from voicelane.operators.routing import route
 from voicelane.operators.urgency import audit, score_urgency
 
@@ -103,3 +104,19 @@ def test_filtering_on_the_route_computes_text_once(reviews):
 def test_guard_list_is_filled():
     assert {"killed", "cancer", "changed", "style"} <= set(DEFAULT_LEXICON.guard)
     assert len(DEFAULT_LEXICON.guard) == 29 and len(DEFAULT_LEXICON.fuzzy_terms()) == 22
+
+
+def test_negation_is_worked_out_once_a_review(reviews):
+    df = m.prepare(reviews("I would never cancel, but now I want a refund."))
+    hits = df.withColumn("hits", m.group_hits(F.col("norm"), F.col("typos"), DEFAULT_LEXICON.churn))
+    kept = m.surviving_churn(hits, "hits", "kept")
+    assert [tuple(r) for r in kept.select("hits", "kept").collect()] == [(["cancel", "refund"], ["refund"])]
+    # The clauses must not be split inside the test of every hit.
+    plan = kept.select("kept")._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan and "split(" not in plan.splitlines()[0]
+
+
+def test_free_tokens_among_some(spark):
+    df = spark.sql("SELECT array(array('never', 'cancel', 'it'), array('stop', 'it')) AS c, array('it', 'cancel') AS few")
+    assert sorted(df.select(m.free_tokens("c")).first()[0]) == ["it", "never", "stop"]
+    assert df.select(m.free_tokens("c", among="few")).first()[0] == ["it"]

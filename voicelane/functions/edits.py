@@ -10,7 +10,9 @@ token is within ``k`` (1 or 2) edits of a term in one of two ways:
 
 With at most two edits the second case covers every use of a swap: the other
 edit lies wholly left or wholly right of the pair. Every swap costs at most two
-plain edits, so ``levenshtein(token, term) <= 2 k`` is a cheap first test.
+plain edits, so ``levenshtein(token, term) <= 2 k`` is a cheap first test. A swap brings
+no letter in and takes none away, and the other edit one at most: fewer than ``k`` letters
+of either word may be missing from the other before swaps are tried place by place.
 """
 
 from __future__ import annotations
@@ -54,8 +56,10 @@ def within_edits(token: str, term: str, budget: str) -> str:
     plain = f"levenshtein({token}, {term}, 2 * {budget})"
     return (
         f"(abs(length({token}) - length({term})) <= {budget} AND {plain} >= 0 "
-        f"AND ({plain} <= {budget} OR CASE WHEN {budget} = 1 THEN {_one_swap(token, term)} "
-        f"ELSE {_one_swap_one_edit(token, term)} END))"
+        f"AND ({plain} <= {budget} OR (length(translate({token}, {term}, '')) < {budget} "
+        f"AND length(translate({term}, {token}, '')) < {budget} "
+        f"AND CASE WHEN {budget} = 1 THEN {_one_swap(token, term)} "
+        f"ELSE {_one_swap_one_edit(token, term)} END)))"
     )
 
 
